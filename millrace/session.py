@@ -19,7 +19,8 @@ COMMON_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_root: str | None = None
+# Application id -> its folder below the scratch root.
+_session_roots: dict[str, str] = {}
 
 
 def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 128 * 1024 * 1024) -> int:
@@ -54,20 +55,19 @@ def scratch_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may
     fall back to a temporary folder of the machine.
     """
-    global _local_root
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="millrace-")
-        storage.delete_at_exit(spark, _local_root)
-    return _local_root
+    return tempfile.gettempdir()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder path below the scratch root, dropped when the JVM ends."""
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    storage.delete_at_exit(spark, path)
-    return path
+    """A path not yet in use below the scratch root, dropped when the driver JVM ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _session_roots:
+        root = f"{scratch_root(spark)}/millrace-{uuid.uuid4().hex}"
+        storage.make_temporary_folder(spark, root)
+        _session_roots[application] = root
+    return f"{_session_roots[application]}/{label}-{uuid.uuid4().hex}"

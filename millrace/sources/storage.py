@@ -11,13 +11,11 @@ def _locate(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def delete_at_exit(spark: SparkSession, path: str) -> None:
-    """Drop the folder when the driver JVM ends."""
+def make_temporary_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder that goes, with its contents, when the driver JVM ends."""
     fs, hadoop_path = _locate(spark, path)
-    if not fs.deleteOnExit(hadoop_path):
-        # Only existing paths can be registered.
-        fs.mkdirs(hadoop_path)
-        fs.deleteOnExit(hadoop_path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
 
 
 def delete_folder(spark: SparkSession, path: str) -> bool:
