@@ -37,12 +37,16 @@ def null_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     """(rows, distinct_keys, duplicates); a null key counts as one value.
 
-    Wrapping the key in a struct keeps the null group, which a plain distinct
-    count leaves out. Copies of a key are merged before the shuffle.
+    Counting the groups keeps the null group, which a distinct count leaves out.
+    Copies of a key are merged before the shuffle.
     """
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(F.struct(*keys)).alias("distinct_keys"),
+    counted = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__copies"))
+        .agg(
+            F.coalesce(F.sum("__copies"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("distinct_keys"),
+        )
     )
     return counted.withColumn("duplicates", F.col("rows") - F.col("distinct_keys"))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.audit import duplicate_keys, null_profile, rule_counts
+from millrace.operators.audit import duplicate_keys, rule_counts
 from millrace.operators.rules import Rule
 
 
@@ -26,14 +26,13 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def null_rules(columns: Sequence[str]) -> list[Rule]:
+    """One rule per required column."""
+    return [Rule(f"null_{column}", f"{column} is null") for column in columns]
+
+
 def check_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One check per required column."""
-    return _verdicts(
-        null_profile(df, columns).select(
-            F.concat(F.lit("null_"), "column_name").alias("check"),
-            F.col("null_count").alias("failures"),
-        )
-    )
+    return check_rules(df, null_rules(columns))
 
 
 def check_unique(df: DataFrame, key: str, name: str) -> DataFrame:

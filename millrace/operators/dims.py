@@ -21,6 +21,15 @@ def require_unique(dimension: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"{surplus} surplus rows for key {key!r}")
 
 
+def small_enough_to_broadcast(dimension: DataFrame) -> bool:
+    """Whether Spark's size estimate lets it broadcast the table without a hint."""
+    session = dimension.sparkSession
+    limit = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    estimate = dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    parsed = session._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return int(str(estimate)) <= parsed
+
+
 def lookup(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Left join that adds ``columns`` of the dimension; unmatched rows get nulls.
 

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import bucket, flag
 from millrace.functions.measures import mean, percent, ratio, rounded, total
 from millrace.operators.audit import rule_counts
-from millrace.operators.checks import check_nulls, check_rules, check_unique, gate
+from millrace.operators.checks import check_rules, check_unique, gate, null_rules
 from millrace.operators.clean import (
     COPIES,
     collapse,
@@ -22,7 +19,12 @@ from millrace.operators.clean import (
     step_counts,
     to_int,
 )
-from millrace.operators.dims import lookup, orphan_counts, require_unique
+from millrace.operators.dims import (
+    lookup,
+    orphan_counts,
+    require_unique,
+    small_enough_to_broadcast,
+)
 from millrace.operators.reports import Report
 from millrace.operators.rules import Rule
 from millrace.operators.summaries import Summary, summarise
@@ -30,6 +32,7 @@ from millrace.plans.runlog import run_log
 from millrace.sources.readers import read_parquet, source_summary
 from millrace.sources.writers import (
     append_json,
+    spread,
     verify_partitions,
     verify_tables,
     write_partitioned,
@@ -233,6 +236,22 @@ def fact(raw: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame
     return build_fact(clean(raw), products, customers)
 
 
+def write_fact(raw: DataFrame, products: DataFrame, customers: DataFrame, path: str) -> None:
+    """Write the fact, moving rows to their partition while they are narrow.
+
+    With dimensions small enough to broadcast, nothing shuffles after the rows
+    are spread, so that is done on the raw columns and not on all 31. Otherwise
+    the joins shuffle, and rows are spread after them.
+    """
+    narrow = small_enough_to_broadcast(products) and small_enough_to_broadcast(customers)
+    rows = clean(raw)
+    if narrow:
+        rows = spread(add_calendar(rows), *PARTITIONED_BY).select(*rows.columns)
+    write_partitioned(
+        build_fact(rows, products, customers), path, PARTITIONED_BY, already_spread=narrow
+    )
+
+
 def orphan_report(fact_rows: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Fact rows without a product or without a customer."""
     return orphan_counts(fact_rows, products, "product_id", "products").unionByName(
@@ -242,12 +261,9 @@ def orphan_report(fact_rows: DataFrame, products: DataFrame, customers: DataFram
 
 def checks(fact_rows: DataFrame) -> DataFrame:
     """All checks on the fact table, each of which counts for the verdict."""
-    parts = [
-        check_nulls(fact_rows, REQUIRED_OUTPUT),
-        check_rules(fact_rows, [NEGATIVE_REVENUE]),
-        check_unique(fact_rows, KEY, "duplicate_orders"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return check_rules(fact_rows, [*null_rules(REQUIRED_OUTPUT), NEGATIVE_REVENUE]).unionByName(
+        check_unique(fact_rows, KEY, "duplicate_orders")
+    )
 
 
 def table_paths(root: str) -> dict[str, str]:
@@ -274,7 +290,7 @@ def run(
     require_unique(customers, "customer_id")
     paths = table_paths(root)
 
-    write_partitioned(fact(raw, products, customers), paths["fact_orders"], PARTITIONED_BY)
+    write_fact(raw, products, customers, paths["fact_orders"])
     write_table(products, paths["dim_products"])
     write_table(customers, paths["dim_customers"])
     if quarantine:

@@ -17,6 +17,7 @@ from millrace.plans.runlog import run_log
 from millrace.sources.readers import read_parquet, source_summary
 from millrace.sources.writers import (
     append_json,
+    spread,
     verify_partitions,
     verify_tables,
     write_partitioned,
@@ -240,8 +241,21 @@ def enrich(cleaned: DataFrame) -> DataFrame:
     return add_labels(add_calendar(add_metrics(cleaned)))
 
 
+def plausible(raw: DataFrame) -> DataFrame:
+    """Clean rows whose derived duration and speed are plausible; raw columns only."""
+    return require(add_metrics(clean(raw)), PLAUSIBLE).select(*raw.columns)
+
+
 def fact(raw: DataFrame) -> DataFrame:
-    return require(enrich(clean(raw)), PLAUSIBLE)
+    return enrich(plausible(raw))
+
+
+def write_fact(raw: DataFrame, path: str) -> None:
+    """Write the fact, moving rows to their partition before columns are added."""
+    rows = spread(
+        plausible(raw).withColumn("pickup_month", F.month(PICKUP)), *PARTITIONED_BY
+    ).select(*raw.columns)
+    write_partitioned(enrich(rows), path, PARTITIONED_BY, already_spread=True)
 
 
 def rejected(raw: DataFrame) -> DataFrame:
@@ -277,7 +291,7 @@ def table_paths(root: str) -> dict[str, str]:
 def run(spark: SparkSession, raw: DataFrame, root: str, quarantine: bool = False) -> DataFrame:
     """Load fact and summaries below ``root`` and return the run's log, one row."""
     paths = table_paths(root)
-    write_partitioned(fact(raw), paths["fact_trips"], PARTITIONED_BY)
+    write_fact(raw, paths["fact_trips"])
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_trips")
 

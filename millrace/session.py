@@ -41,8 +41,9 @@ def local_session(cores: int | str = 8, name: str = "millrace", memory: str = "1
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        # Small inputs: let one file be split over all cores.
+        # Small inputs: let one file, and one rebalanced write, spread over all cores.
         .config("spark.sql.files.openCostInBytes", str(1024 * 1024))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(4 * 1024 * 1024))
     )
     for key, value in COMMON_CONF.items():
         builder = builder.config(key, value)

@@ -16,19 +16,31 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Bring rows of one output partition together, in tasks of even size.
+
+    Unlike ``repartition(*by)`` this splits a partition that holds much of the
+    table over many tasks, and merges small ones.
+    """
+    return df.hint("rebalance", *by)
+
+
 def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], only_touched: bool = False
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    only_touched: bool = False,
+    already_spread: bool = False,
 ) -> None:
-    """Replace a partitioned table.
+    """Replace a partitioned table with few files per partition.
 
-    Rows are rebalanced on the partition columns first. That gives each
-    partition few files, and unlike ``repartition(*by)`` it splits a partition
-    that holds much of the table over many tasks. ``only_touched`` replaces only
-    the partitions present in ``df``.
+    ``only_touched`` replaces only the partitions present in ``df``. Rows are
+    spread on the partition columns first, unless the plan has done so before
+    and has not shuffled since.
     """
     mode = "dynamic" if only_touched else "static"
     (
-        df.hint("rebalance", *by)
+        (df if already_spread else spread(df, *by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*by)

@@ -15,7 +15,6 @@ from millrace.plans import orders
 from millrace.plans.reload import reload_partitions
 from millrace.session import fresh_dir
 from millrace.sources.readers import read_parquet
-from millrace.sources.writers import write_partitioned
 from verification import loaded
 from verification.duckdb_tables import davg, dsum, from_orders, hround
 from verification.registry import query
@@ -553,7 +552,7 @@ def incremental_reload(spark, sf_dir):
     history = raw.filter(~BATCH.holds())
     p, c = products(spark, sf_dir), customers(spark, sf_dir)
     path = fresh_dir(spark, "fact-reloaded")
-    write_partitioned(orders.fact(history, p, c), path, orders.PARTITIONED_BY)
+    orders.write_fact(history, p, c, path)
     reload_partitions(
         spark,
         path,

@@ -113,20 +113,19 @@ def extract_summary(spark, sf_dir):
 @query(from_orders("select * from orders_fact"))
 def sink_fact_orders(spark, sf_dir):
     path = fresh_dir(spark, "fact-orders")
-    fact = orders.fact(
+    orders.write_fact(
         stand_ins.raw_orders(spark, sf_dir),
         stand_ins.products(spark, sf_dir),
         stand_ins.customers(spark, sf_dir),
+        path,
     )
-    writers.write_partitioned(fact, path, orders.PARTITIONED_BY)
     return read_parquet(spark, path)
 
 
 @query(from_trips("select * from trips_fact"))
 def sink_fact_trips(spark, sf_dir):
     path = fresh_dir(spark, "fact-trips")
-    fact = trips.fact(stand_ins.raw_trips(spark, sf_dir))
-    writers.write_partitioned(fact, path, trips.PARTITIONED_BY)
+    trips.write_fact(stand_ins.raw_trips(spark, sf_dir), path)
     return read_parquet(spark, path)
 
 
