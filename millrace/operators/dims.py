@@ -23,11 +23,9 @@ def require_unique(dimension: DataFrame, key: str) -> None:
 
 def small_enough_to_broadcast(dimension: DataFrame) -> bool:
     """Whether Spark's size estimate lets it broadcast the table without a hint."""
-    session = dimension.sparkSession
-    limit = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    conf = dimension.sparkSession._jsparkSession.sessionState().conf()
     estimate = dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    parsed = session._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-    return int(str(estimate)) <= parsed
+    return int(str(estimate)) <= conf.autoBroadcastJoinThreshold()
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

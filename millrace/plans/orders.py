@@ -39,6 +39,7 @@ from millrace.sources.writers import (
     write_table,
 )
 
+FACT = "fact_orders"
 KEY = "order_id"
 # Which of several rows with one order_id stays: the least in this order.
 KEEP_ORDER = (
@@ -236,8 +237,10 @@ def fact(raw: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame
     return build_fact(clean(raw), products, customers)
 
 
-def write_fact(raw: DataFrame, products: DataFrame, customers: DataFrame, path: str) -> None:
-    """Write the fact, moving rows to their partition while they are narrow.
+def write_fact(
+    raw: DataFrame, products: DataFrame, customers: DataFrame, path: str
+) -> DataFrame:
+    """Write the fact and read it back, moving rows to their partition while narrow.
 
     With dimensions small enough to broadcast, nothing shuffles after the rows
     are spread, so that is done on the raw columns and not on all 31. Otherwise
@@ -247,9 +250,9 @@ def write_fact(raw: DataFrame, products: DataFrame, customers: DataFrame, path:
     rows = clean(raw)
     if narrow:
         rows = spread(add_calendar(rows), *PARTITIONED_BY).select(*rows.columns)
-    write_partitioned(
-        build_fact(rows, products, customers), path, PARTITIONED_BY, already_spread=narrow
-    )
+    built = build_fact(rows, products, customers)
+    write_partitioned(built, path, PARTITIONED_BY, already_spread=narrow)
+    return read_parquet(raw.sparkSession, path, schema=built.schema)
 
 
 def orphan_report(fact_rows: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -267,7 +270,7 @@ def checks(fact_rows: DataFrame) -> DataFrame:
 
 
 def table_paths(root: str) -> dict[str, str]:
-    names = ("fact_orders", "dim_products", "dim_customers", *SUMMARIES)
+    names = (FACT, "dim_products", "dim_customers", *SUMMARIES)
     return {name: f"{root}/{name}" for name in names}
 
 
@@ -290,15 +293,16 @@ def run(
     require_unique(customers, "customer_id")
     paths = table_paths(root)
 
-    write_fact(raw, products, customers, paths["fact_orders"])
+    loaded = write_fact(raw, products, customers, paths[FACT])
     write_table(products, paths["dim_products"])
     write_table(customers, paths["dim_customers"])
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_orders")
 
-    loaded = read_parquet(spark, paths["fact_orders"])
     for name, spec in SUMMARIES.items():
         write_table(summarise(loaded, spec), paths[name])
+    tables = {name: read_parquet(spark, path) for name, path in paths.items() if name != FACT}
+    tables[FACT] = loaded
 
     # A few rows each: the only data that comes to the driver.
     extracted = {
@@ -306,8 +310,8 @@ def run(
         for r in source_summary({"orders": raw, "products": products, "customers": customers}).collect()
     }
     audit = {r["rule"]: r["matches"] for r in rule_counts(raw, AUDITED).collect()}
-    written = {r["table"]: r for r in verify_tables(spark, paths).collect()}
-    partitions = verify_partitions(spark, paths["fact_orders"], PARTITIONED_BY).first()
+    written = {r["table"]: r for r in verify_tables(tables).collect()}
+    partitions = verify_partitions(loaded, PARTITIONED_BY).first()
     verdicts = checks(loaded)
     failures = {r["check"]: r["failures"] for r in verdicts.collect()}
     log = run_log(
@@ -317,8 +321,8 @@ def run(
         extract={f"{source}_raw": rows for source, rows in extracted.items() if source != "total"},
         issues=audit,
         rows_before=extracted["orders"],
-        rows_after=written["fact_orders"]["rows"],
-        final_columns=written["fact_orders"]["columns"],
+        rows_after=written[FACT]["rows"],
+        final_columns=written[FACT]["columns"],
         loaded={f"{table}_rows": r["rows"] for table, r in written.items()},
         partition_columns=PARTITIONED_BY,
         partitions=partitions["partitions"],

@@ -37,7 +37,7 @@ def reload_partitions(
     staged = fresh_dir(spark, "reload-rows")
     write_table(build(raw.join(keys, key, "left_semi")), staged)
     rebuilt = read_parquet(spark, staged)
-    loaded = read_parquet(spark, path)
+    loaded = read_parquet(spark, path, schema=rebuilt.schema)
     rebuilt = rebuilt.select(*loaded.columns)
 
     touched = (

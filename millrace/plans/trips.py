@@ -24,6 +24,7 @@ from millrace.sources.writers import (
     write_table,
 )
 
+FACT = "fact_trips"
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 PARTITIONED_BY = ("pickup_month",)
@@ -250,12 +251,14 @@ def fact(raw: DataFrame) -> DataFrame:
     return enrich(plausible(raw))
 
 
-def write_fact(raw: DataFrame, path: str) -> None:
-    """Write the fact, moving rows to their partition before columns are added."""
+def write_fact(raw: DataFrame, path: str) -> DataFrame:
+    """Write the fact and read it back; rows move to their partition while narrow."""
     rows = spread(
         plausible(raw).withColumn("pickup_month", F.month(PICKUP)), *PARTITIONED_BY
     ).select(*raw.columns)
-    write_partitioned(enrich(rows), path, PARTITIONED_BY, already_spread=True)
+    built = enrich(rows)
+    write_partitioned(built, path, PARTITIONED_BY, already_spread=True)
+    return read_parquet(raw.sparkSession, path, schema=built.schema)
 
 
 def rejected(raw: DataFrame) -> DataFrame:
@@ -285,25 +288,26 @@ def report(name: str, fact_rows: DataFrame) -> DataFrame:
 
 
 def table_paths(root: str) -> dict[str, str]:
-    return {name: f"{root}/{name}" for name in ("fact_trips", *SUMMARIES)}
+    return {name: f"{root}/{name}" for name in (FACT, *SUMMARIES)}
 
 
 def run(spark: SparkSession, raw: DataFrame, root: str, quarantine: bool = False) -> DataFrame:
     """Load fact and summaries below ``root`` and return the run's log, one row."""
     paths = table_paths(root)
-    write_fact(raw, paths["fact_trips"])
+    loaded = write_fact(raw, paths[FACT])
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_trips")
 
-    loaded = read_parquet(spark, paths["fact_trips"])
     for name in SUMMARIES:
         write_table(summary(name, loaded), paths[name])
+    tables = {name: read_parquet(spark, paths[name]) for name in SUMMARIES}
+    tables[FACT] = loaded
 
     # A few rows each: the only data that comes to the driver.
     extracted = source_summary({"trips": raw}).where("source = 'trips'").first()
     issues = {r["rule"]: r["matches"] for r in rule_counts(raw, [*AUDITED, OUT_OF_PERIOD]).collect()}
-    written = {r["table"]: r for r in verify_tables(spark, paths).collect()}
-    partitions = verify_partitions(spark, paths["fact_trips"], PARTITIONED_BY).first()
+    written = {r["table"]: r for r in verify_tables(tables).collect()}
+    partitions = verify_partitions(loaded, PARTITIONED_BY).first()
     log = run_log(
         spark,
         name="trips",
@@ -311,8 +315,8 @@ def run(spark: SparkSession, raw: DataFrame, root: str, quarantine: bool = False
         extract={"trips_raw": extracted["rows"], "trips_columns": extracted["columns"]},
         issues=issues,
         rows_before=extracted["rows"],
-        rows_after=written["fact_trips"]["rows"],
-        final_columns=written["fact_trips"]["columns"],
+        rows_after=written[FACT]["rows"],
+        final_columns=written[FACT]["columns"],
         loaded={f"{table}_rows": r["rows"] for table, r in written.items()},
         partition_columns=PARTITIONED_BY,
         partitions=partitions["partitions"],

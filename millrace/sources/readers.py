@@ -30,9 +30,8 @@ def read_csv(
     if schema is None:
         return reader.option("inferSchema", True).csv(list(paths))
     if keep_corrupt:
-        # The header check counts columns, and the extra column is not in the file.
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        return reader.schema(with_corrupt_record(schema)).csv(list(paths))
+        schema = with_corrupt_record(schema)
     return reader.option("enforceSchema", False).schema(schema).csv(list(paths))
 
 
@@ -50,9 +49,19 @@ def read_json(
     return (reader.schema(schema) if schema is not None else reader).json(list(paths))
 
 
-def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
-    """Any number of Parquet files or folders as one table."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
+def read_parquet(
+    spark: SparkSession,
+    *paths: str,
+    schema: T.StructType | None = None,
+    merge_schema: bool = False,
+) -> DataFrame:
+    """Any number of Parquet files or folders as one table.
+
+    A partitioned table without rows has no file to take the schema from, so it
+    can only be read with ``schema``.
+    """
+    reader = spark.read.option("mergeSchema", merge_schema)
+    return (reader.schema(schema) if schema is not None else reader).parquet(*paths)
 
 
 def source_summary(

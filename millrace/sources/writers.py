@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.readers import read_parquet
-
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned table."""
@@ -52,25 +50,22 @@ def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def verify_tables(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """(table, rows, columns) of each written table, read back."""
-    counted = []
-    for name, path in paths.items():
-        df = read_parquet(spark, path)
-        counted.append(
-            df.agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(name).alias("table"), "rows", F.lit(len(df.columns)).alias("columns")
-            )
+def verify_tables(written: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, rows, columns) of each written table, as read back."""
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), "rows", F.lit(len(df.columns)).alias("columns")
         )
+        for name, df in written.items()
+    ]
     return reduce(DataFrame.unionByName, counted)
 
 
-def verify_partitions(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
+def verify_partitions(written: DataFrame, by: Sequence[str]) -> DataFrame:
     """Number of partitions read back, and of those with a null partition value."""
     has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in by])
     return (
-        read_parquet(spark, path)
-        .select(*by)
+        written.select(*by)
         .distinct()
         .agg(
             F.count(F.lit(1)).alias("partitions"),

@@ -112,21 +112,17 @@ def extract_summary(spark, sf_dir):
 
 @query(from_orders("select * from orders_fact"))
 def sink_fact_orders(spark, sf_dir):
-    path = fresh_dir(spark, "fact-orders")
-    orders.write_fact(
+    return orders.write_fact(
         stand_ins.raw_orders(spark, sf_dir),
         stand_ins.products(spark, sf_dir),
         stand_ins.customers(spark, sf_dir),
-        path,
+        fresh_dir(spark, "fact-orders"),
     )
-    return read_parquet(spark, path)
 
 
 @query(from_trips("select * from trips_fact"))
 def sink_fact_trips(spark, sf_dir):
-    path = fresh_dir(spark, "fact-trips")
-    trips.write_fact(stand_ins.raw_trips(spark, sf_dir), path)
-    return read_parquet(spark, path)
+    return trips.write_fact(stand_ins.raw_trips(spark, sf_dir), fresh_dir(spark, "fact-trips"))
 
 
 @query(
@@ -244,7 +240,7 @@ _WRITTEN = """
 def verify_outputs(spark, sf_dir):
     paths = orders.table_paths(loaded.orders_root(spark, sf_dir))
     paths |= trips.table_paths(loaded.trips_root(spark, sf_dir))
-    return writers.verify_tables(spark, paths)
+    return writers.verify_tables({n: read_parquet(spark, path) for n, path in paths.items()})
 
 
 @query(
@@ -258,14 +254,14 @@ def verify_outputs(spark, sf_dir):
 )
 def verify_partitions(spark, sf_dir):
     facts = {
-        "fact_orders": (loaded.orders_root(spark, sf_dir), orders.PARTITIONED_BY),
-        "fact_trips": (loaded.trips_root(spark, sf_dir), trips.PARTITIONED_BY),
+        orders.FACT: (loaded.fact_orders(spark, sf_dir), orders.PARTITIONED_BY),
+        trips.FACT: (loaded.fact_trips(spark, sf_dir), trips.PARTITIONED_BY),
     }
     parts = [
-        writers.verify_partitions(spark, f"{root}/{name}", by).select(
+        writers.verify_partitions(fact, by).select(
             F.lit(name).alias("table"), "partitions", "null_partitions"
         )
-        for name, (root, by) in facts.items()
+        for name, (fact, by) in facts.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
