@@ -71,42 +71,54 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_user_time_ranges(events: DataFrame) -> DataFrame:
+    """Cut events into ranges of (user, time, id), numbered in that order by ``lane``.
+
+    The id is unique, so ranges are of even size, however many events one user
+    has, or has at one time.
+    """
+    ranged = events.repartitionByRange("user_id", "ts", "event_id")
+    return ranged.withColumn("lane", F.spark_partition_id())
+
+
 def with_next_time(events: DataFrame) -> DataFrame:
-    """Add ``next_ts``, the time of the user's next event.
+    """Replace ``lane`` by ``next_ts``, the time of the user's next event.
 
-    A window over the user alone would put a hot user into one task. Here the
-    first window works within a user's minute, and the second only on the rows
-    at the edges of the minutes, of which a user has two per minute at most.
+    A window over the user alone would put a hot user into one task. Here one
+    window looks within a user's rows of a range. The other joins up the ranges:
+    it ranks only the rows at their edges, two per user and range at most.
     """
     order = ("ts", "event_id")
-    minute = Window.partitionBy("user_id", "minute").orderBy(*order)
-    edges = Window.partitionBy("user_id", "lane").orderBy(*order)
-    within = events.withColumn("minute", F.date_trunc("minute", "ts")).withColumns(
+    within = Window.partitionBy("user_id", "lane").orderBy(*order)
+    across = Window.partitionBy("user_id", "edge_lane").orderBy(*order)
+    found = events.withColumns(
         {
-            "next_here": F.lead("ts").over(minute),
-            "is_first": F.row_number().over(minute) == 1,
+            "next_here": F.lead("ts").over(within),
+            "is_first": F.row_number().over(within) == 1,
         }
     )
     at_edge = F.col("is_first") | F.col("next_here").isNull()
     return (
-        within.withColumn("lane", F.when(~at_edge, F.col("minute")))
-        .withColumn("next_ts", F.coalesce("next_here", F.lead("ts").over(edges)))
-        .drop("minute", "next_here", "is_first", "lane")
+        found.withColumn("edge_lane", F.when(~at_edge, F.col("lane")))
+        .withColumn("next_ts", F.coalesce("next_here", F.lead("ts").over(across)))
+        .drop("lane", "next_here", "is_first", "edge_lane")
     )
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trip is one event of a user; it ends at the user's next event."""
-    events = table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts", "props")
+    # The text is read only now, because finding the ranges reads their input twice.
+    ranged = in_user_time_ranges(events).selectExpr(
         "event_id",
         "user_id",
         "value",
         "ts",
-        # Read out of the text here, so that the text is not shuffled.
+        "lane",
         "cast(get_json_object(props, '$.k') as int) as k",
         "cast(if(event_id % 61 = 0, -400, (event_id % 3) * 31) as int) as shift_days",
     )
-    e = with_next_time(events)
+    e = with_next_time(ranged)
     return e.selectExpr(
         "event_id",
         "cast(1 + event_id % 2 as int) as VendorID",
