@@ -14,11 +14,12 @@ class DuplicateKeyError(ValueError):
     """A dimension has several rows for one key, so a join would multiply facts."""
 
 
-def require_unique(dimension: DataFrame, key: str) -> None:
-    """Raise unless every key of the dimension occurs once. Runs one small job."""
-    surplus = duplicate_keys(dimension, key).first()["duplicates"]
-    if surplus:
-        raise DuplicateKeyError(f"{surplus} surplus rows for key {key!r}")
+def require_unique(dimension: DataFrame, key: str) -> int:
+    """Raise unless every key of the dimension occurs once; return the number of rows."""
+    found = duplicate_keys(dimension, key).first()
+    if found["duplicates"]:
+        raise DuplicateKeyError(f"{found['duplicates']} surplus rows for key {key!r}")
+    return found["rows"]
 
 
 def small_enough_to_broadcast(dimension: DataFrame) -> bool:

@@ -29,6 +29,10 @@ class Rule:
         return flag(self.column())
 
 
+# Counted with other rules, gives the number of rows in the same pass.
+ALL_ROWS = Rule("rows", "true")
+
+
 def first_broken(rules: Sequence[Rule]) -> Column:
     """Name of the first rule that does not hold; null where all of them hold."""
     chain = F

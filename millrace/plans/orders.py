@@ -26,10 +26,10 @@ from millrace.operators.dims import (
     small_enough_to_broadcast,
 )
 from millrace.operators.reports import Report
-from millrace.operators.rules import Rule
+from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans.runlog import run_log
-from millrace.sources.readers import read_parquet, source_summary
+from millrace.sources.readers import read_parquet
 from millrace.sources.writers import (
     append_json,
     spread,
@@ -37,6 +37,7 @@ from millrace.sources.writers import (
     verify_tables,
     write_partitioned,
     write_table,
+    write_tables,
 )
 
 FACT = "fact_orders"
@@ -289,38 +290,34 @@ def run(
     the log are aggregates over tables, not metrics observed during the write:
     those count rows twice when a lost executor's tasks run again.
     """
-    require_unique(products, "product_id")
-    require_unique(customers, "customer_id")
+    dimension_rows = {
+        "products_raw": require_unique(products, "product_id"),
+        "customers_raw": require_unique(customers, "customer_id"),
+    }
     paths = table_paths(root)
-
     loaded = write_fact(raw, products, customers, paths[FACT])
-    write_table(products, paths["dim_products"])
-    write_table(customers, paths["dim_customers"])
+    others = {name: summarise(loaded, spec) for name, spec in SUMMARIES.items()}
+    others |= {"dim_products": products, "dim_customers": customers}
+    write_tables({paths[name]: df for name, df in others.items()})
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_orders")
 
-    for name, spec in SUMMARIES.items():
-        write_table(summarise(loaded, spec), paths[name])
     tables = {name: read_parquet(spark, path) for name, path in paths.items() if name != FACT}
     tables[FACT] = loaded
 
     # A few rows each: the only data that comes to the driver.
-    extracted = {
-        r["source"]: r["rows"]
-        for r in source_summary({"orders": raw, "products": products, "customers": customers}).collect()
-    }
-    audit = {r["rule"]: r["matches"] for r in rule_counts(raw, AUDITED).collect()}
+    audit = {r["rule"]: r["matches"] for r in rule_counts(raw, [ALL_ROWS, *AUDITED]).collect()}
+    raw_rows = audit.pop(ALL_ROWS.name)
     written = {r["table"]: r for r in verify_tables(tables).collect()}
     partitions = verify_partitions(loaded, PARTITIONED_BY).first()
-    verdicts = checks(loaded)
-    failures = {r["check"]: r["failures"] for r in verdicts.collect()}
+    failures = {r["check"]: r["failures"] for r in checks(loaded).collect()}
     log = run_log(
         spark,
         name="orders",
         failures=failures,
-        extract={f"{source}_raw": rows for source, rows in extracted.items() if source != "total"},
+        extract={"orders_raw": raw_rows, **dimension_rows},
         issues=audit,
-        rows_before=extracted["orders"],
+        rows_before=raw_rows,
         rows_after=written[FACT]["rows"],
         final_columns=written[FACT]["columns"],
         loaded={f"{table}_rows": r["rows"] for table, r in written.items()},

@@ -11,10 +11,10 @@ from millrace.operators.audit import rule_counts
 from millrace.operators.checks import check_rules, gate
 from millrace.operators.clean import require, set_aside, step_counts
 from millrace.operators.reports import Report
-from millrace.operators.rules import Rule
+from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans.runlog import run_log
-from millrace.sources.readers import read_parquet, source_summary
+from millrace.sources.readers import read_parquet
 from millrace.sources.writers import (
     append_json,
     spread,
@@ -22,6 +22,7 @@ from millrace.sources.writers import (
     verify_tables,
     write_partitioned,
     write_table,
+    write_tables,
 )
 
 FACT = "fact_trips"
@@ -298,23 +299,23 @@ def run(spark: SparkSession, raw: DataFrame, root: str, quarantine: bool = False
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_trips")
 
-    for name in SUMMARIES:
-        write_table(summary(name, loaded), paths[name])
+    write_tables({paths[name]: summary(name, loaded) for name in SUMMARIES})
     tables = {name: read_parquet(spark, paths[name]) for name in SUMMARIES}
     tables[FACT] = loaded
 
     # A few rows each: the only data that comes to the driver.
-    extracted = source_summary({"trips": raw}).where("source = 'trips'").first()
-    issues = {r["rule"]: r["matches"] for r in rule_counts(raw, [*AUDITED, OUT_OF_PERIOD]).collect()}
+    counted = rule_counts(raw, [ALL_ROWS, *AUDITED, OUT_OF_PERIOD])
+    issues = {r["rule"]: r["matches"] for r in counted.collect()}
+    raw_rows = issues.pop(ALL_ROWS.name)
     written = {r["table"]: r for r in verify_tables(tables).collect()}
     partitions = verify_partitions(loaded, PARTITIONED_BY).first()
     log = run_log(
         spark,
         name="trips",
         failures={r["check"]: r["failures"] for r in checks(loaded).collect()},
-        extract={"trips_raw": extracted["rows"], "trips_columns": extracted["columns"]},
+        extract={"trips_raw": raw_rows, "trips_columns": len(raw.columns)},
         issues=issues,
-        rows_before=extracted["rows"],
+        rows_before=raw_rows,
         rows_after=written[FACT]["rows"],
         final_columns=written[FACT]["columns"],
         loaded={f"{table}_rows": r["rows"] for table, r in written.items()},

@@ -136,12 +136,11 @@ def sink_fact_trips(spark, sf_dir):
 def sink_dims(spark, sf_dir):
     root = fresh_dir(spark, "dims")
     dims = {
-        "products": stand_ins.products(spark, sf_dir),
-        "customers": stand_ins.customers(spark, sf_dir),
+        f"{root}/products": stand_ins.products(spark, sf_dir),
+        f"{root}/customers": stand_ins.customers(spark, sf_dir),
     }
-    for name, df in dims.items():
-        writers.write_table(df, f"{root}/{name}")
-    products, customers = (read_parquet(spark, f"{root}/{name}") for name in dims)
+    writers.write_tables(dims)
+    products, customers = (read_parquet(spark, path) for path in dims)
     return products.select(
         F.lit("products").alias("dimension"),
         F.col("product_id").alias("id"),
@@ -202,11 +201,9 @@ def sink_summaries(spark, sf_dir):
         (loaded.fact_orders(spark, sf_dir), orders.SUMMARIES),
         (loaded.fact_trips(spark, sf_dir), trips.SUMMARIES),
     )
-    paths = {}
-    for fact, specs in facts:
-        for name, spec in specs.items():
-            paths[name] = f"{root}/{name}"
-            writers.write_table(summarise(fact, spec), paths[name])
+    tables = {name: summarise(fact, spec) for fact, specs in facts for name, spec in specs.items()}
+    paths = {name: f"{root}/{name}" for name in tables}
+    writers.write_tables({paths[name]: df for name, df in tables.items()})
     return _control_sums(spark, paths)
 
 
@@ -216,6 +213,7 @@ def reuse_cached(spark, sf_dir):
     root = fresh_dir(spark, "from-cache")
     paths = {name: f"{root}/{name}" for name in trips.SUMMARIES}
     with reused(trips.fact(stand_ins.raw_trips(spark, sf_dir))) as fact:
+        # One after the other: the first fills the cache for the rest.
         for name, path in paths.items():
             writers.write_table(trips.summary(name, fact), path)
     return _control_sums(spark, paths)
