@@ -45,12 +45,16 @@ def orphans(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 
 def orphan_counts(df: DataFrame, dimension: DataFrame, key: str, name: str) -> DataFrame:
-    """(dimension, orphan_rows, orphan_keys)."""
+    """(dimension, orphan_rows, orphan_keys).
+
+    Rows are counted by key first, so the join sees a hot key once.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     return (
-        orphans(df.select(key), dimension, key)
+        orphans(per_key, dimension, key)
         .agg(
-            F.count(F.lit(1)).alias("orphan_rows"),
-            F.count_distinct(key).alias("orphan_keys"),
+            F.coalesce(F.sum("__rows"), F.lit(0)).alias("orphan_rows"),
+            F.count(key).alias("orphan_keys"),
         )
         .select(F.lit(name).alias("dimension"), "orphan_rows", "orphan_keys")
     )

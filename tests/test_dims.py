@@ -2,6 +2,7 @@ import pytest
 from conftest import final_plan, plan, rows
 from pyspark.sql import functions as F
 
+from millrace.operators.clean import keep_one
 from millrace.operators.dims import (
     DuplicateKeyError,
     lookup,
@@ -85,6 +86,27 @@ def test_hot_key_of_a_large_dimension_is_split(spark, conf, tmp_path):
     assert out.agg(F.sum("n")).first()[0] == n
 
 
+def test_hot_key_is_split_before_an_aggregate_on_it(spark, conf):
+    """As in a reload, where the rows of some keys are picked and then deduplicated."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__shuffle__partitions="20",
+    )
+    raw = spark.range(120_000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50_000).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    keys = spark.range(0, 50_000, 7).select(F.col("id").alias("k"))
+    kept = keep_one(raw.join(keys, "k", "left_semi"), ["k"])
+    assert "skew=true" in final_plan(kept)
+    expected = raw.filter("k % 7 = 0").groupBy("k").agg(F.min("payload").alias("payload"))
+    assert rows(kept) == rows(expected)
+
+
 def test_write_without_broadcast_gives_the_same_fact(spark, sf_dir, conf, tmp_path):
     parts = [f(spark, sf_dir) for f in (stand_ins.raw_orders, stand_ins.products, stand_ins.customers)]
     orders.write_fact(*parts, str(tmp_path / "narrow"))

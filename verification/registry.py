@@ -7,6 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,12 +20,11 @@ def query(oracle: str) -> Callable[[Query], Query]:
 
     def register(run: Query) -> Query:
         @wraps(run)
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir.rstrip("/"))
+        def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return run(configure(spark), sf_dir.rstrip("/"))
 
-        QUERIES[run.__name__] = in_utc
+        QUERIES[run.__name__] = configured
         ORACLES[run.__name__] = oracle
-        return in_utc
+        return configured
 
     return register
