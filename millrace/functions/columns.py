@@ -13,6 +13,15 @@ def elapsed_seconds(start: str, end: str) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
+def first_match(cases: Sequence[tuple[Column, str]], default: str | None) -> Column:
+    """Value of the first case whose condition is true, else the default."""
+    (condition, value), *others = cases
+    chain = F.when(condition, value)
+    for condition, value in others:
+        chain = chain.when(condition, value)
+    return chain.otherwise(default)
+
+
 def bucket(column: str, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Label by the first edge the value lies below; the last label takes the rest.
 
@@ -20,26 +29,19 @@ def bucket(column: str, edges: Sequence[float], labels: Sequence[str]) -> Column
     """
     if len(labels) != len(edges) + 1:
         raise ValueError("need one label more than edges")
-    chain = F
-    for edge, name in zip(edges, labels):
-        chain = chain.when(F.col(column) < edge, name)
-    return chain.otherwise(labels[-1])
+    cases = [(F.col(column) < edge, name) for edge, name in zip(edges, labels)]
+    return first_match(cases, labels[-1])
 
 
 def label(column: str, names: Mapping[int, str], default: str) -> Column:
     """Code to name, with a default for codes (and nulls) not listed."""
-    chain = F
-    for code, name in names.items():
-        chain = chain.when(F.col(column) == code, name)
-    return chain.otherwise(default)
+    return first_match([(F.col(column) == code, name) for code, name in names.items()], default)
 
 
 def band(column: str, bands: Mapping[str, tuple[int, int]], default: str) -> Column:
     """Name of the first inclusive range that holds the value."""
-    chain = F
-    for name, (low, high) in bands.items():
-        chain = chain.when(F.col(column).between(low, high), name)
-    return chain.otherwise(default)
+    cases = [(F.col(column).between(low, high), name) for name, (low, high) in bands.items()]
+    return first_match(cases, default)
 
 
 def flag(condition: Column) -> Column:

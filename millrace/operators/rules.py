@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import flag
+from millrace.functions.columns import first_match, flag
 
 
 @dataclass(frozen=True)
@@ -35,10 +35,7 @@ ALL_ROWS = Rule("rows", "true")
 
 def first_broken(rules: Sequence[Rule]) -> Column:
     """Name of the first rule that does not hold; null where all of them hold."""
-    chain = F
-    for rule in rules:
-        chain = chain.when(~rule.holds(), rule.name)
-    return chain.otherwise(F.lit(None).cast("string"))
+    return first_match([(~rule.holds(), rule.name) for rule in rules], None)
 
 
 def any_holds(rules: Sequence[Rule]) -> Column:

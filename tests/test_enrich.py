@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from conftest import details, rows
 from test_clean import make_orders
 
 from millrace.functions.columns import bucket
@@ -177,6 +177,20 @@ def test_labels(spark):
     ]
 
 
+def test_zoned_timestamps_give_the_same_trips(spark, tmp_path):
+    """The columns may be timestamps of the session's zone; filters still reach the reader."""
+    plain = make_trips(spark, {}, dict(tpep_pickup_datetime=datetime(2023, 3, 4, 12)))
+    zoned = plain.withColumns(
+        {c: plain[c].cast("timestamp") for c in (trips.PICKUP, trips.DROPOFF)}
+    )
+    derived = [c for c in trips.fact(plain).columns if c not in plain.columns]
+    assert len(derived) == 15
+    assert rows(trips.fact(zoned).select(*derived)) == rows(trips.fact(plain).select(*derived))
+    zoned.write.parquet(str(tmp_path / "z"))
+    text = details(trips.clean(spark.read.parquet(str(tmp_path / "z"))))
+    assert f"GreaterThanOrEqual({trips.PICKUP}" in text and f"LessThan({trips.PICKUP}" in text
+
+
 def test_cleaning_ranges(spark):
     bad = [
         dict(fare_amount=0.0),
