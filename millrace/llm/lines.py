@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.tables import LOWER, UPPER, kept
+from millrace.llm.tables import kept, lower_ascii
 
 MIN_LENGTH = 20
 MIN_DOCUMENTS = 3
@@ -45,11 +45,11 @@ def keep_bitmaps(
     Words that are not in the map keep all their lines; documents that keep everything have
     no row.
     """
-    key = F.translate(F.btrim(F.col("line"), F.lit(BLANKS)), UPPER, LOWER)
     lines = (
         docs.select("doc_id", _text_hash().alias("text_hash"), F.posexplode(_lines()).alias("pos", "line"))
-        .select("doc_id", "text_hash", "pos", key.alias("key"))
-        .where(F.length("key") >= min_length)
+        .select("doc_id", "text_hash", "pos", F.btrim("line", F.lit(BLANKS)).alias("line"))
+        .where(F.length("line") >= min_length)
+        .select("doc_id", "text_hash", "pos", lower_ascii(F.col("line")).alias("key"))
         .select(
             F.xxhash64("key").alias("h1"),
             F.xxhash64(F.lit(1), "key").alias("h2"),
