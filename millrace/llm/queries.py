@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import lines, secrets, shards
+from millrace.llm import decontaminate, language, lines, secrets, sentencepieces, shards, token_counts
 from millrace.llm.tables import table
 from millrace.session import configure
 
@@ -20,13 +20,23 @@ def over_documents(digest: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": over_documents(language.digest),
+    "op2_token_counts": over_documents(token_counts.digest),
     "op3_line_dedup": over_documents(lines.digest),
     "op4_secret_scan": over_documents(secrets.digest),
+    "op7_sentencepiece": over_documents(sentencepieces.digest),
     "op8_shards": over_documents(shards.digest),
+    "op10_decontamination": decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op4_secret_scan": secrets.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
 }
