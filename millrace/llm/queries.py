@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, language, lines, secrets, sentencepieces, shards, token_counts
+from millrace.llm import decontaminate, language, lines, secrets, sentencepieces, shards, token_counts, vectors
 from millrace.llm.tables import table
 from millrace.session import configure
 
@@ -25,11 +25,16 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(configure(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": over_documents(language.digest),
     "op2_token_counts": over_documents(token_counts.digest),
     "op3_line_dedup": over_documents(lines.digest),
     "op4_secret_scan": over_documents(secrets.digest),
+    "op6_embedding_dedup": embedding_dedup,
     "op7_sentencepiece": over_documents(sentencepieces.digest),
     "op8_shards": over_documents(shards.digest),
     "op10_decontamination": decontamination,
@@ -38,5 +43,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op4_secret_scan": secrets.ORACLE,
+    "op6_embedding_dedup": vectors.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
 }
