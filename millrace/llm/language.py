@@ -34,7 +34,7 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
 DIMENSIONS = 16
 SAMPLE = 4000
-EPOCHS = 8
+EPOCHS = 4
 BATCH = 32
 RATE = 4.0
 RISK = 0.002
