@@ -6,27 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, language, lines, secrets, sentencepieces, shards, token_counts, vectors
-from millrace.llm.tables import table
-from millrace.session import configure
+from millrace.llm import decontaminate, language, lines, near_text, secrets, sentencepieces, shards, token_counts, vectors
+from millrace.llm.tables import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def over_documents(digest: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return digest(table(configure(spark), sf_dir, "documents"))
+        return digest(table(prepare(spark), sf_dir, "documents"))
 
     return run
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepare(spark)
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.near_duplicates(table(configure(spark), sf_dir, "embeddings"))
+    return vectors.near_duplicates(table(prepare(spark), sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Query] = {
@@ -37,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "op6_embedding_dedup": embedding_dedup,
     "op7_sentencepiece": over_documents(sentencepieces.digest),
     "op8_shards": over_documents(shards.digest),
+    "op9_minhash_dedup": over_documents(near_text.digest),
     "op10_decontamination": decontamination,
 }
 
@@ -44,5 +44,6 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op4_secret_scan": secrets.ORACLE,
     "op6_embedding_dedup": vectors.ORACLE,
+    "op9_minhash_dedup": near_text.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import fresh_dir
+from millrace.session import configure, fresh_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -13,6 +13,16 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
 
 
+#: Rows in an Arrow batch; texts are long, and a batch is held by the JVM and by Python.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
