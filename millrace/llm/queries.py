@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, language, lines, near_text, secrets, sentencepieces, shards, token_counts, vectors
+from millrace.llm import decontaminate, language, language_model, lines, near_text, secrets, sentencepieces, shards, token_counts, vectors
 from millrace.llm.tables import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": over_documents(token_counts.digest),
     "op3_line_dedup": over_documents(lines.digest),
     "op4_secret_scan": over_documents(secrets.digest),
+    "op5_lm_score": over_documents(language_model.digest),
     "op6_embedding_dedup": embedding_dedup,
     "op7_sentencepiece": over_documents(sentencepieces.digest),
     "op8_shards": over_documents(shards.digest),
