@@ -38,7 +38,7 @@ EPOCHS = 4
 BATCH = 32
 RATE = 4.0
 RISK = 0.002
-MOST_CONFIDENCE = 0.5
+MOST_CONFIDENCE = 0.4
 #: Byte positions worked on at once.
 STRIDE = 1 << 20
 UNKNOWN = "und"
