@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from millrace.llm import decontaminate, language, language_model, lines, near_text, secrets, sentencepieces, shards, token_counts, vectors
 from millrace.llm.tables import prepare, table
 
@@ -39,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op8_shards": over_documents(shards.digest),
     "op9_minhash_dedup": over_documents(near_text.digest),
     "op10_decontamination": decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
