@@ -26,6 +26,10 @@ from millrace.llm.batches import Worker, add_columns
 from millrace.llm.pieces import MEMO_CHARS, MEMO_WORDS, MODEL, Vocabulary, character_bytes, load_vocabulary, marked_words
 
 
+#: Text bytes split at once: their words are held as objects.
+TEXT_CHUNK = 2 * 1024 * 1024
+
+
 def common_prefix(a: str, b: str) -> int:
     if b.startswith(a):
         return len(a)
@@ -74,28 +78,65 @@ def split_sorted(words: list[str], vocabulary: Vocabulary) -> dict[str, array]:
     return out
 
 
+class _Encoder:
+    """Splits the texts of one task; remembers the ids of short words."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.memo = vocabulary, {}
+
+    def __call__(self, texts: list) -> tuple[array, list[int]]:
+        """Ids of all texts in a row, and where each text's begin and the last one's end."""
+        split = [marked_words(text) for text in texts]
+        new = split_sorted(sorted(set().union(*split) - self.memo.keys()), self.vocabulary)
+        ids, offsets = array("i"), [0]
+        for words in split:
+            for word in words:
+                ids.extend(new[word] if word in new else self.memo[word])
+            offsets.append(len(ids))
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo.clear()
+        if len(new) <= MEMO_WORDS:
+            self.memo.update((w, i) for w, i in new.items() if len(w) <= MEMO_CHARS)
+        return ids, offsets
+
+
+def _lists(ids: array, offsets: list[int], texts: list) -> pa.Array:
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()),
+        pa.array(np.frombuffer(ids, np.int32), pa.int32()),
+        mask=pa.array([text is None for text in texts]),
+    )
+
+
+def text_of(ids, raw: tuple[bytes, ...]) -> str:
+    joined = b"".join([raw[i] for i in ids])
+    return joined[joined.startswith(b" ") :].decode("utf-8", "replace")
+
+
 def _worker(vocabulary: Vocabulary) -> Callable[[], Worker]:
     def start() -> Worker:
-        memo: dict[str, array] = {}
+        encoder = _Encoder(vocabulary)
 
         def work(texts: list) -> list:
-            split = [marked_words(text) for text in texts]
-            distinct = set().union(*split)
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            new = split_sorted(sorted(distinct - memo.keys()), vocabulary)
-            ids, offsets = array("i"), [0]
-            for words in split:
-                for word in words:
-                    ids.extend(new[word] if word in new else memo[word])
-                offsets.append(len(ids))
-            memo.update((w, i) for w, i in new.items() if len(w) <= MEMO_CHARS)
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()),
-                pa.array(np.frombuffer(ids, np.int32), pa.int32()),
-                mask=pa.array([text is None for text in texts]),
-            )
-            return [lists]
+            ids, offsets = encoder(texts)
+            return [_lists(ids, offsets, texts)]
+
+        return work
+
+    return start
+
+
+def _both_ways(vocabulary: Vocabulary) -> Callable[[], Worker]:
+    def start() -> Worker:
+        encoder = _Encoder(vocabulary)
+
+        def work(texts: list) -> list:
+            ids, offsets = encoder(texts)
+            same = [
+                text is None or text_of(ids[a:b], vocabulary.raw) == text
+                for text, a, b in zip(texts, offsets, offsets[1:])
+            ]
+            return [_lists(ids, offsets, texts), same]
 
         return work
 
@@ -104,7 +145,7 @@ def _worker(vocabulary: Vocabulary) -> Callable[[], Worker]:
 
 def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) with ``ids``, the pieces of the whole text."""
-    return add_columns(docs, _worker(load_vocabulary(model)), "ids array<int>", keep=keep)
+    return add_columns(docs, _worker(load_vocabulary(model)), "ids array<int>", keep=keep, limit=TEXT_CHUNK)
 
 
 def decode(docs: DataFrame, model: str = MODEL, into: str = "decoded") -> DataFrame:
@@ -113,22 +154,19 @@ def decode(docs: DataFrame, model: str = MODEL, into: str = "decoded") -> DataFr
 
     @pandas_udf("string")
     def text(ids):
-        def of(one):
-            if one is None:
-                return None
-            joined = b"".join([raw[i] for i in one])
-            return joined[joined.startswith(b" ") :].decode("utf-8", "replace")
-
-        return ids.map(of, na_action="ignore")
+        return ids.map(lambda one: text_of(one, raw), na_action="ignore")
 
     return docs.withColumn(into, text("ids"))
 
 
 def digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    both = decode(encode(docs.select("doc_id", "text"), model), model)
-    return both.select(
-        "doc_id",
-        F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_tokens"),
-        "ids",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    """Encoded and decoded in one pass over the texts."""
+    both = add_columns(
+        docs.select("doc_id", "text"),
+        _both_ways(load_vocabulary(model)),
+        "ids array<int>, round_trip boolean",
+        keep=["doc_id"],
+        limit=TEXT_CHUNK,
     )
+    n_tokens = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long")
+    return both.select("doc_id", n_tokens.alias("n_tokens"), "ids", "round_trip")

@@ -95,7 +95,7 @@ def _worker(vocabulary: Vocabulary) -> Callable[[], Worker]:
 
 def count_tokens(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) with n_tokens, n_marked_words and best_score."""
-    return add_columns(docs, _worker(load_vocabulary(model)), COUNTS, keep=keep)
+    return add_columns(docs, _worker(load_vocabulary(model)), COUNTS, keep=keep, limit=2 * 1024 * 1024)
 
 
 def digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
