@@ -259,12 +259,14 @@ class Trainer:
 
 def train(texts: DataFrame, corpus: Corpus) -> Parameters:
     """Parameters averaged over the tasks, each of which learns from all its texts."""
-    sent = texts.sparkSession.sparkContext.broadcast(corpus)
+    # Plain values: a broadcast is read where this package may be absent.
+    sent = texts.sparkSession.sparkContext.broadcast(tuple(vars(corpus).values()))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(sent.value)
+        corpus = Corpus(*sent.value)
+        trainer = Trainer(corpus)
         for batch in chunks(batches, "text", 1 << 21):
-            trainer.learn(Sequence(batch.column("text").to_pylist(), sent.value))
+            trainer.learn(Sequence(batch.column("text").to_pylist(), corpus))
         if trainer.seen:
             rows = trainer.p.rows() * trainer.seen
             yield pa.RecordBatch.from_arrays(
@@ -317,7 +319,7 @@ PARTS = (
 
 def _worker(sent) -> Callable[[], Worker]:
     def start() -> Worker:
-        corpus, parameters = sent.value
+        corpus, parameters = Corpus(*sent.value[0]), Parameters(*sent.value[1])
         scorer = Scorer(parameters)
         base = np.append(corpus.base_logs(corpus.counts), 0.0)  # the last one stands for rare words
         share = np.zeros(len(base))
@@ -348,7 +350,9 @@ def _worker(sent) -> Callable[[], Worker]:
 def score(docs: DataFrame, counts: DataFrame, corpus: Corpus, parameters: Parameters) -> DataFrame:
     """The columns of ``docs`` but text, with n_tokens, n_known, base_score and score."""
     held = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "base_score", "score")]
-    sent = docs.sparkSession.sparkContext.broadcast((corpus, parameters))
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (tuple(vars(corpus).values()), tuple(vars(parameters).values()))
+    )
     rows = docs.select(F.struct(*held).alias("_row"), F.monotonically_increasing_id().alias("_at"), "text")
     parts = kept(add_columns(rows, _worker(sent), PARTS, keep=["_row", "_at"], limit=1 << 21), "scored")
 
