@@ -35,6 +35,8 @@ ORDERS = (2, 3, 4)
 DIMENSIONS = 16
 SAMPLE = 4000
 EPOCHS = 4
+#: Steps taken at least; a small sample is gone through more often.
+LEAST_STEPS = 400
 BATCH = 32
 RATE = 4.0
 RISK = 0.002
@@ -141,8 +143,10 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Lang
     labels = np.array([number[label] for label, _, _ in rows])
     held = np.arange(len(rows)) % 5 == 4
     learned = np.flatnonzero(~held)
-    steps, step = max(1, EPOCHS * -(-len(learned) // BATCH)), 0
-    for _ in range(EPOCHS):
+    once = max(1, -(-len(learned) // BATCH))
+    epochs = max(EPOCHS, -(-LEAST_STEPS // once))
+    steps, step = epochs * once, 0
+    for _ in range(epochs):
         order = rng.permutation(learned)
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]
