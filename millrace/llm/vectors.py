@@ -145,12 +145,13 @@ def _compare(axes: np.ndarray, threshold: float):
 def _tiles_of(merged: DataFrame, size: int, threshold: float) -> DataFrame:
     """Links per vector (other -1) and forest links of all tiles of vectors of one length."""
     axes = principal_axes(merged, size)
-    first = axes[:, 0].tolist()
-    dot = F.aggregate(
-        F.zip_with("v", F.array(*map(F.lit, first)), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x
-    )
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    ranked = merged.withColumn("at", F.coalesce(dot / norm, F.lit(0.0)))
+
+    def place(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(at=unit(np.stack(pdf["v"].to_numpy())) @ axes[:, 0])
+
+    ranked = kept(merged.mapInPandas(place, "v array<double>, vec_id long, n long, at double"), "placed")
     n_blocks = max(1, math.ceil(merged.count() / BLOCK))
     steps = [i / n_blocks for i in range(1, n_blocks)]
     cuts = ranked.agg(F.percentile_approx("at", steps, 10000)).first()[0] if steps else []
