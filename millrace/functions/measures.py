@@ -9,14 +9,21 @@ from __future__ import annotations
 
 
 def total(column: str, scale: int = 2) -> str:
-    """Order-independent sum of ``column``, as a double."""
-    precision = 18 if scale <= 2 else 28
-    return f"cast(sum(cast({column} as decimal({precision},{scale}))) as double)"
+    """Order-independent sum of ``column``, as a double.
+
+    Values that no decimal holds (NaN, infinity, 22 digits and more) are left out, here
+    and in ``mean``, and never fail the job; the checks of a domain report them.
+    """
+    return f"cast(try_sum({_decimal(column, scale)}) as double)"
 
 
 def mean(column: str, scale: int = 2) -> str:
-    """Exact sum over the number of non-null values; null for no values."""
-    return ratio(total(column, scale), f"count({column})")
+    """Exact sum over the number of values in it; null for no values."""
+    return ratio(total(column, scale), f"count({_decimal(column, scale)})")
+
+
+def _decimal(column: str, scale: int) -> str:
+    return f"try_cast({column} as decimal(28,{scale}))"
 
 
 def ratio(numerator: str, denominator: str) -> str:

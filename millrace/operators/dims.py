@@ -7,26 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.audit import duplicate_keys
-
 
 class DuplicateKeyError(ValueError):
     """A dimension has several rows for one key, so a join would multiply facts."""
 
 
 def require_unique(dimension: DataFrame, key: str) -> int:
-    """Raise unless every key of the dimension occurs once; return the number of rows."""
-    found = duplicate_keys(dimension, key).first()
-    if found["duplicates"]:
-        raise DuplicateKeyError(f"{found['duplicates']} surplus rows for key {key!r}")
-    return found["rows"]
+    """Raise unless every key of the dimension occurs once; return the number of rows.
 
-
-def small_enough_to_broadcast(dimension: DataFrame) -> bool:
-    """Whether Spark's size estimate lets it broadcast the table without a hint."""
-    conf = dimension.sparkSession._jsparkSession.sessionState().conf()
-    estimate = dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= conf.autoBroadcastJoinThreshold()
+    Rows without a key join with nothing, so any number of them is allowed.
+    """
+    found = (
+        dimension.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("__copies"))
+        .agg(
+            F.coalesce(F.sum("__copies"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("__copies") - 1)), F.lit(0)).alias(
+                "surplus"
+            ),
+        )
+        .first()
+    )
+    if found["surplus"]:
+        raise DuplicateKeyError(f"{found['surplus']} surplus rows for key {key!r}")
+    return found["rows"]
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,8 +17,13 @@ class Report:
     sql: str
 
     def run(self, df: DataFrame) -> DataFrame:
-        df.createOrReplaceTempView(self.view)
-        return df.sparkSession.sql(self.sql)
+        # A name of its own: reports on several facts may run at once.
+        own = f"{self.view}_{uuid.uuid4().hex}"
+        df.createTempView(own)
+        try:
+            return df.sparkSession.sql(re.sub(rf"\b{self.view}\b", own, self.sql))
+        finally:
+            df.sparkSession.catalog.dropTempView(own)
 
 
 def top(df: DataFrame, n: int, *order) -> DataFrame:

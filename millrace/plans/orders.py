@@ -19,20 +19,15 @@ from millrace.operators.clean import (
     step_counts,
     to_int,
 )
-from millrace.operators.dims import (
-    lookup,
-    orphan_counts,
-    require_unique,
-    small_enough_to_broadcast,
-)
+from millrace.operators.dims import lookup, orphan_counts, require_unique
 from millrace.operators.reports import Report
 from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans.runlog import run_log
 from millrace.sources.readers import read_parquet
+from millrace.sources.schemas import CORRUPT_RECORD, RAW_ORDERS
 from millrace.sources.writers import (
     append_json,
-    spread,
     verify_partitions,
     verify_tables,
     write_partitioned,
@@ -63,8 +58,9 @@ REVENUE_LABELS = ("Small (<$50)", "Medium ($50-200)", "Large ($200-500)", "Enter
 WEEKEND_DAYS = (1, 7)
 REQUIRED_OUTPUT = ("order_id", "customer_id", "product_id", "net_revenue", "category")
 
+READABLE = Rule("cell_unreadable", f"{CORRUPT_RECORD} is null")
 HAS_ID = Rule("order_id_missing", "order_id is not null")
-HAS_PRICE = Rule("unit_price_not_positive", "unit_price > 0 and not isnan(unit_price)")
+HAS_PRICE = Rule("unit_price_not_positive", "unit_price > 0 and unit_price < double('Infinity')")
 HAS_QUANTITY = Rule("quantity_not_positive", "quantity > 0")
 HAS_CUSTOMER = Rule("customer_id_missing", "customer_id is not null")
 NOT_SURPLUS = Rule("order_id_repeated", "not is_surplus")
@@ -75,6 +71,8 @@ AUDITED = (
 )
 
 NEGATIVE_REVENUE = Rule("negative_revenue", "net_revenue < 0")
+# Sums leave such values out, so they must not pass unseen.
+ODD_REVENUE = Rule("non_finite_revenue", "isnan(net_revenue) or abs(net_revenue) = double('Infinity')")
 
 COMPLETED = "status = 'Completed'"
 
@@ -118,7 +116,7 @@ REPORTS = {
         select order_year, order_month, count(*) as orders, {_REVENUE} as revenue,
                {_PROFIT} as profit, {_MARGIN} as avg_margin
         from {VIEW} where {COMPLETED}
-        group by order_year, order_month order by order_year, order_month limit 12
+        group by order_year, order_month order by order_year, order_month
         """,
     ),
     "top_categories": Report(
@@ -127,7 +125,7 @@ REPORTS = {
         select category, count(*) as orders, {_REVENUE} as revenue,
                {_PROFIT} as profit, {_MARGIN} as avg_margin
         from {VIEW} where {COMPLETED}
-        group by category order by profit desc, category limit 10
+        group by category order by profit desc, category
         """,
     ),
     "segment": Report(
@@ -153,27 +151,40 @@ REPORTS = {
 }
 
 
+def readable(raw: DataFrame) -> DataFrame:
+    """Rows without an unreadable cell, and without the column that marks them."""
+    if CORRUPT_RECORD not in raw.columns:
+        return raw
+    return raw.filter(READABLE.column()).drop(CORRUPT_RECORD)
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """One row per order, then only rows with an id, a price, a quantity and a customer.
 
-    Deduplication comes first, so an invalid row that is kept for its key takes
-    its valid twins with it.
+    Lines with an unreadable cell, where the reader kept their text, are set aside
+    before anything else: what their other cells hold is not to be trusted. Then
+    comes deduplication, so an invalid row that is kept for its key takes its valid
+    twins with it.
     """
-    one_each = keep_one(raw, [KEY], KEEP_ORDER)
+    one_each = keep_one(readable(raw), [KEY], KEEP_ORDER)
     valid = require(one_each, [HAS_ID, HAS_PRICE, HAS_QUANTITY])
     return require(to_int(valid, "customer_id"), [HAS_CUSTOMER])
 
 
 def rejected(raw: DataFrame) -> DataFrame:
     """Every raw row that ``clean`` drops, with the reason. Types as in ``clean``."""
-    marked = to_int(mark_surplus(raw, [KEY], KEEP_ORDER), "customer_id")
+    marked = to_int(mark_surplus(readable(raw), [KEY], KEEP_ORDER), "customer_id")
     rules = [HAS_ID, NOT_SURPLUS, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER]
-    return set_aside(marked, rules).drop("is_surplus")
+    judged = set_aside(marked, rules).drop("is_surplus")
+    if CORRUPT_RECORD not in raw.columns:
+        return judged
+    unreadable = set_aside(to_int(raw, "customer_id"), [READABLE])
+    return unreadable.unionByName(judged, allowMissingColumns=True)
 
 
 def clean_steps(raw: DataFrame) -> DataFrame:
     """Row counts through the steps of ``clean``."""
-    one_each = to_int(collapse(raw, [KEY], KEEP_ORDER), "customer_id")
+    one_each = to_int(collapse(readable(raw), [KEY], KEEP_ORDER), "customer_id")
     return step_counts(one_each, [HAS_ID, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER], COPIES)
 
 
@@ -231,7 +242,8 @@ def with_customers(df: DataFrame, customers: DataFrame) -> DataFrame:
 
 def build_fact(cleaned: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """The 31 columns of the fact table. Dimension keys have to be unique."""
-    return add_profit(with_customers(with_products(enrich(cleaned), products), customers))
+    rows = enrich(cleaned.select(*RAW_ORDERS.fieldNames()))  # whatever else the source has
+    return add_profit(with_customers(with_products(rows, products), customers))
 
 
 def fact(raw: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -241,18 +253,13 @@ def fact(raw: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame
 def write_fact(
     raw: DataFrame, products: DataFrame, customers: DataFrame, path: str
 ) -> DataFrame:
-    """Write the fact and read it back, moving rows to their partition while narrow.
+    """Write the fact and read it back.
 
-    With dimensions small enough to broadcast, nothing shuffles after the rows
-    are spread, so that is done on the raw columns and not on all 31. Otherwise
-    the joins shuffle, and rows are spread after them.
+    Rows are spread over the output partitions once, after the joins, so the plan and
+    the layout of the files are the same for dimensions of any size.
     """
-    narrow = small_enough_to_broadcast(products) and small_enough_to_broadcast(customers)
-    rows = clean(raw)
-    if narrow:
-        rows = spread(add_calendar(rows), *PARTITIONED_BY).select(*rows.columns)
-    built = build_fact(rows, products, customers)
-    write_partitioned(built, path, PARTITIONED_BY, already_spread=narrow)
+    built = build_fact(clean(raw), products, customers)
+    write_partitioned(built, path, PARTITIONED_BY)
     return read_parquet(raw.sparkSession, path, schema=built.schema)
 
 
@@ -265,7 +272,7 @@ def orphan_report(fact_rows: DataFrame, products: DataFrame, customers: DataFram
 
 def checks(fact_rows: DataFrame) -> DataFrame:
     """All checks on the fact table, each of which counts for the verdict."""
-    return check_rules(fact_rows, [*null_rules(REQUIRED_OUTPUT), NEGATIVE_REVENUE]).unionByName(
+    return check_rules(fact_rows, [*null_rules(REQUIRED_OUTPUT), NEGATIVE_REVENUE, ODD_REVENUE]).unionByName(
         check_unique(fact_rows, KEY, "duplicate_orders")
     )
 

@@ -50,6 +50,7 @@ RANGES = (
     Rule("distance_out_of_range", "trip_distance > 0 and trip_distance < 200"),
     Rule("total_out_of_range", "total_amount > 0 and total_amount < 500"),
     Rule("passengers_out_of_range", "passenger_count > 0 and passenger_count <= 6"),
+    Rule("tip_not_finite", "tip_amount is null or abs(tip_amount) < double('Infinity')"),
 )
 IN_PERIOD = Rule("outside_period", year_is(PICKUP, YEAR))
 TIME_ORDER = Rule("not_in_time_order", f"{PICKUP} < {DROPOFF}")

@@ -35,10 +35,18 @@ def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 128 * 1024 * 102
     return max(8, math.ceil(shuffled_bytes / target_bytes))
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the settings the operators count on."""
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Give a session made elsewhere the settings the operators count on.
+
+    ``input_bytes``, the size of what a load reads, sets how finely shuffles are cut.
+    """
     for key, value in COMMON_CONF.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(shuffle_partitions(input_bytes)),
+        )
     return spark
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,18 +65,24 @@ def read_parquet(
     return (reader.schema(schema) if schema is not None else reader).parquet(*paths)
 
 
-def source_summary(
-    sources: Mapping[str, DataFrame], files: Mapping[str, Sequence[str]] | None = None
-) -> DataFrame:
-    """(source, rows, columns, files) per source, and a ``total`` row."""
-    files = files or {}
+def _file_path(df: DataFrame) -> Column:
+    """Path of the file a row was read from; null for a table that is not read from files."""
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return F.lit(None).cast("string")
+    return F.col("_metadata.file_path")
+
+
+def source_summary(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """(source, rows, columns, files) per source, and a ``total`` row.
+
+    Files are counted where rows came from, so a file without rows is not.
+    """
     counted = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("source"),
-            "rows",
-            F.lit(len(df.columns)).alias("columns"),
-            F.lit(len(files.get(name, ()))).alias("files"),
-        )
+        df.select(_file_path(df).alias("file"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
+        .select(F.lit(name).alias("source"), "rows", F.lit(len(df.columns)).alias("columns"), "files")
         for name, df in sources.items()
     ]
     # Rolling up repeats no scan: the total comes from the per-source rows.

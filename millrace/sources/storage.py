@@ -23,6 +23,14 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hadoop_path, True))
 
 
+def delete_uri(spark: SparkSession, uri: str) -> None:
+    """Delete the folder that an escaped URI names, as ``_metadata.file_path`` gives it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(uri))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.delete(path, True):
+        raise OSError(f"could not delete {uri}")
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Direct sub-folders that hold data, sorted by name."""
     fs, hadoop_path = _locate(spark, path)

@@ -9,7 +9,6 @@ from millrace.operators.dims import (
     orphan_counts,
     orphans,
     require_unique,
-    small_enough_to_broadcast,
 )
 from millrace.plans import orders
 from verification import stand_ins
@@ -54,14 +53,6 @@ def test_fact_has_31_columns_in_order(spark, sf_dir):
     assert columns[-3:] == ["unit_profit", "total_profit", "profit_margin_pct"]
 
 
-def test_size_check_follows_the_threshold(spark, sf_dir, conf):
-    products = stand_ins.products(spark, sf_dir)
-    assert small_enough_to_broadcast(products)
-    for limit in ("100b", "-1"):
-        conf(spark__sql__autoBroadcastJoinThreshold=limit)
-        assert not small_enough_to_broadcast(products)
-
-
 def test_hot_key_of_a_large_dimension_is_split(spark, conf, tmp_path):
     """A third of the rows share one key and the dimension is too large to broadcast."""
     conf(
@@ -107,11 +98,16 @@ def test_hot_key_is_split_before_an_aggregate_on_it(spark, conf):
     assert rows(kept) == rows(expected)
 
 
-def test_write_without_broadcast_gives_the_same_fact(spark, sf_dir, conf, tmp_path):
+def test_rows_without_a_key_are_no_duplicates(spark, dim):
+    nameless = spark.createDataFrame([(None, "x", 0), (None, "y", 0)], "k int, name string, x int")
+    assert require_unique(dim.union(nameless), "k") == 5
+
+
+def test_the_fact_is_spread_once_after_the_joins(spark, sf_dir, conf, tmp_path):
     parts = [f(spark, sf_dir) for f in (stand_ins.raw_orders, stand_ins.products, stand_ins.customers)]
-    orders.write_fact(*parts, str(tmp_path / "narrow"))
+    orders.write_fact(*parts, str(tmp_path / "broadcast"))
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    orders.write_fact(*parts, str(tmp_path / "wide"))
-    narrow, wide = (spark.read.parquet(str(tmp_path / p)) for p in ("narrow", "wide"))
-    assert narrow.columns == wide.columns
-    assert rows(narrow) == rows(wide)
+    orders.write_fact(*parts, str(tmp_path / "shuffled"))
+    one, two = (spark.read.parquet(str(tmp_path / p)) for p in ("broadcast", "shuffled"))
+    assert one.columns == two.columns
+    assert rows(one) == rows(two)

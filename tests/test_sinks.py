@@ -114,6 +114,42 @@ def test_orders_run_end_to_end(spark, tmp_path):
     assert read_log(spark, f"{root}/run_log").count() == 2
 
 
+def test_amounts_that_no_sum_can_hold_are_left_out_or_reported(spark, tmp_path):
+    raw = make_orders(
+        spark,
+        dict(order_id=1),
+        dict(order_id=2, unit_price=float("inf")),
+        dict(order_id=3, unit_price=float("nan")),
+        dict(order_id=4, unit_price=5.4e16),
+        dict(order_id=5, unit_price=5.4e27),
+    )
+    root = str(tmp_path / "star")
+    assert orders.run(spark, raw, *dims(spark), root).first()["status"] == "SUCCESS"
+    fact = spark.read.parquet(f"{root}/fact_orders")
+    assert sorted(r["order_id"] for r in fact.collect()) == [1, 4, 5]
+    [day] = spark.read.parquet(f"{root}/agg_daily_summary").collect()
+    # The third value is too large for the sum and its mean alike.
+    assert day["total_revenue"] > 9e16 and day["avg_order_value"] * 2 == day["total_revenue"]
+    odd = fact.withColumn("net_revenue", F.lit(float("inf")))
+    failures = {r["check"]: r["failures"] for r in orders.checks(odd).collect()}
+    assert failures["non_finite_revenue"] == 3
+
+
+def test_a_tip_that_is_not_finite_is_rejected(spark):
+    raw = make_trips(spark, {}, dict(tip_amount=float("inf")), dict(tip_amount=float("nan")))
+    assert trips.fact(raw).count() == 1
+    assert {r["reason"] for r in trips.rejected(raw).collect()} == {"tip_not_finite"}
+
+
+def test_unreadable_lines_go_to_quarantine_whole(spark):
+    raw = make_orders(spark, dict(order_id=1), dict(order_id=2), dict(order_id=2, quantity=None))
+    marked = raw.withColumn("_corrupt_record", F.when(F.col("quantity").isNull(), "2,...,x"))
+    assert rows(orders.clean(marked).select("order_id", "quantity")) == [(1, 2), (2, 2)]
+    assert "_corrupt_record" not in orders.fact(marked, *dims(spark)).columns
+    bad = orders.rejected(marked).collect()
+    assert [(r["order_id"], r["reason"], r["_corrupt_record"]) for r in bad] == [(2, "cell_unreadable", "2,...,x")]
+
+
 def test_unknown_product_fails_the_gate(spark, tmp_path):
     raw = make_orders(spark, dict(order_id=1), dict(order_id=2, product_id=99))
     log = orders.run(spark, raw, *dims(spark), str(tmp_path / "star")).first()
@@ -186,6 +222,63 @@ def test_reload_moves_a_row_and_drops_an_emptied_partition(spark, tmp_path):
     assert sorted(os.listdir(untouched)) == before
 
 
+def reload_by(spark, tmp_path, history, batch):
+    """Reload of rows (k, v, p) whose least v stays, next to a full load."""
+    from millrace.operators.clean import keep_one
+
+    build = lambda raw: keep_one(raw, ["k"], ["v"])
+    path, full = str(tmp_path / "fact"), str(tmp_path / "full")
+    writers.write_partitioned(build(history), path, ["p"])
+    count = reload_partitions(spark, path, history, batch, build, "k", ["p"])
+    writers.write_partitioned(build(history.union(batch)), full, ["p"])
+    assert rows(spark.read.parquet(path)) == rows(spark.read.parquet(full))
+    assert sorted(os.listdir(tmp_path)) == ["fact", "full"]  # no staging is left
+    assert sorted(p for p in os.listdir(path) if "=" in p) == sorted(p for p in os.listdir(full) if "=" in p)
+    return count
+
+
+def test_reload_with_odd_partition_values(spark, tmp_path):
+    kind = "k int, v int, p string"
+    history = spark.createDataFrame(
+        [(1, 5, "a:b"), (2, 5, "c/d e"), (3, 5, None), (4, 5, "stays"), (5, 5, "100%")], kind
+    )
+    batch = spark.createDataFrame([(1, 1, "new"), (2, 1, "n:w"), (3, 1, "stays"), (5, 1, None)], kind)
+    assert reload_by(spark, tmp_path, history, batch) == 7
+
+
+def test_reload_of_many_partitions(spark, tmp_path):
+    rows_of = "id as k", "cast(id % 3 as int) as v", "cast(id % 1500 as int) as p"
+    history = spark.range(3000).selectExpr(*rows_of)
+    batch = spark.range(0, 3000, 2).selectExpr("id as k", "-1 as v", "cast(id % 1500 as int) as p")
+    assert reload_by(spark, tmp_path, history, batch) == 750
+
+
+def test_reload_again_after_a_failure_before_the_deletes(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from millrace.sources import storage
+
+    kind = "k int, v int, p string"
+    history = spark.createDataFrame([(1, 5, "old"), (2, 5, "stays")], kind)
+    batch = spark.createDataFrame([(1, 1, "new")], kind)
+    real = storage.delete_uri
+
+    def fail(*_):
+        raise OSError("gone")
+
+    from millrace.operators.clean import keep_one
+
+    build = lambda raw: keep_one(raw, ["k"], ["v"])
+    path = str(tmp_path / "fact")
+    writers.write_partitioned(build(history), path, ["p"])
+    monkeypatch.setattr(storage, "delete_uri", fail)
+    with pytest.raises(OSError):
+        reload_partitions(spark, path, history, batch, build, "k", ["p"])
+    monkeypatch.setattr(storage, "delete_uri", real)
+    reload_partitions(spark, path, history, batch, build, "k", ["p"])
+    assert rows(spark.read.parquet(path)) == [(1, 1, "new"), (2, 5, "stays")]
+
+
 def test_reload_of_nothing_changes_nothing(spark, tmp_path):
     history = make_orders(spark, dict(order_id=1))
     path = str(tmp_path / "fact")

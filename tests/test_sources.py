@@ -78,9 +78,17 @@ def test_parquet_files_as_one_table(spark, tmp_path):
     assert rows(both) == [(0, None), (1, None), (9, "x")]
 
 
-def test_source_summary(spark):
-    found = rows(source_summary({"a": spark.range(3), "b": spark.range(0)}, {"a": ["f", "g"]}))
-    assert found == [("a", 3, 1, 2), ("b", 0, 1, 0), ("total", 3, 2, 2)]
+def test_source_summary(spark, tmp_path):
+    spark.range(6).repartition(2).write.parquet(str(tmp_path / "a"))
+    sources = {"a": spark.read.parquet(str(tmp_path / "a")), "b": spark.range(3)}
+    assert rows(source_summary(sources)) == [("a", 6, 1, 2), ("b", 3, 1, 0), ("total", 9, 2, 2)]
+
+
+def test_shuffles_are_cut_by_the_size_of_the_input(spark, conf):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    conf(**{key.replace(".", "__"): "8"})
+    session.configure(spark, input_bytes=10 * 2**40)
+    assert spark.conf.get(key) == str(10 * 2**40 // (128 * 2**20))
 
 
 def test_scratch_root_is_the_shared_folder(spark, monkeypatch):

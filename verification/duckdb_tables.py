@@ -27,8 +27,9 @@ ORDERS = f"""
 raw0 as (
   select l_orderkey * 10 + l_linenumber as order_id,
          o_orderdate + to_hours(cast(l_linenumber * 3 as int)) as order_date,
-         case when l_orderkey % 50 = 0 then null else cast(o_custkey as double) end as customer_id,
-         l_partkey as product_id,
+         case when l_orderkey % 50 = 0 then null when l_orderkey % 97 = 5 then -1.0::double * o_custkey
+              else cast(o_custkey as double) end as customer_id,
+         case when l_orderkey % 101 = 7 then -l_partkey else l_partkey end as product_id,
          case when l_suppkey % 37 = 0 then 0 else cast(l_quantity as int) end as quantity,
          case when (l_orderkey + l_partkey) % 33 = 0 then null
               when (l_orderkey + l_suppkey) % 997 = 0 then -l_extendedprice
@@ -46,14 +47,14 @@ raw_orders as (
 products as (
   select p_partkey as product_id, p_name as product_name, p_type as category,
          p_brand as brand, p_retailprice / 2 as cost_price, p_size % 20 <> 0 as is_active
-  from part where p_partkey % 100 <> 7),
+  from part),
 customers as (
   select cast(c_custkey as int) as customer_id, c_name as customer_name,
          case when c_nationkey % 3 = 0 then 'North' when c_nationkey % 3 = 1 then 'South'
               else 'West' end as city,
          case when c_nationkey < 15 then 'USA' else 'India' end as country,
          c_mktsegment as customer_segment
-  from customer where c_custkey % 97 <> 5),
+  from customer),
 ranked as (
   select *, row_number() over (partition by order_id order by {_ORDER_BY}) as rn
   from raw_orders),
@@ -120,6 +121,7 @@ order_checks as (
       {{'check': 'null_net_revenue', 'failures': count(*) filter (where net_revenue is null)}},
       {{'check': 'null_category', 'failures': count(*) filter (where category is null)}},
       {{'check': 'negative_revenue', 'failures': count(*) filter (where net_revenue < 0)}},
+      {{'check': 'non_finite_revenue', 'failures': count(*) filter (where not isfinite(net_revenue))}},
       {{'check': 'duplicate_orders', 'failures': count(*) - count(distinct order_id)}}
     ], recursive := true)
   from orders_fact)

@@ -429,7 +429,7 @@ def agg_distinct(spark, sf_dir):
                    {hround(dsum("total_profit"), 0)} as profit,
                    {hround(davg("profit_margin_pct", 1), 1)} as avg_margin
             from orders_fact where status = 'Completed'
-            group by all order by order_year, order_month limit 12"""
+            group by order_year, order_month"""
     )
 )
 def sql_monthly_revenue(spark, sf_dir):
@@ -442,7 +442,7 @@ def sql_monthly_revenue(spark, sf_dir):
                    {hround(dsum("total_profit"), 0)} as profit,
                    {hround(davg("profit_margin_pct", 1), 1)} as avg_margin
             from orders_fact where status = 'Completed'
-            group by category order by profit desc, category nulls first limit 10"""
+            group by category"""
     )
 )
 def sql_top_categories(spark, sf_dir):

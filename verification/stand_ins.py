@@ -21,8 +21,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "l_orderkey * 10 + l_linenumber as order_id",
         "timestampadd(HOUR, l_linenumber * 3, o_orderdate) as order_date",
-        "if(l_orderkey % 50 = 0, null, cast(o_custkey as double)) as customer_id",
-        "l_partkey as product_id",
+        # Keys that no dimension has, so that there are orphans.
+        """case when l_orderkey % 50 = 0 then null when l_orderkey % 97 = 5 then -1.0D * o_custkey
+                else cast(o_custkey as double) end as customer_id""",
+        "if(l_orderkey % 101 = 7, -l_partkey, l_partkey) as product_id",
         "if(l_suppkey % 37 = 0, 0, cast(l_quantity as int)) as quantity",
         """case when (l_orderkey + l_partkey) % 33 = 0 then null
                 when (l_orderkey + l_suppkey) % 997 = 0 then -l_extendedprice
@@ -45,7 +47,6 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
-        .where("p_partkey % 100 <> 7")
         .selectExpr(
             "p_partkey as product_id",
             "p_name as product_name",
@@ -60,7 +61,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")
-        .where("c_custkey % 97 <> 5")
         .selectExpr(
             "cast(c_custkey as int) as customer_id",
             "c_name as customer_name",

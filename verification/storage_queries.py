@@ -14,7 +14,7 @@ from millrace.plans.runlog import log_entries, read_log
 from millrace.session import fresh_dir
 from millrace.sources import storage, writers
 from millrace.sources.readers import read_csv, read_json, read_parquet, source_summary
-from millrace.sources.schemas import CORRUPT_RECORD, PRODUCTS, RAW_ORDERS
+from millrace.sources.schemas import CORRUPT_RECORD, CUSTOMERS, PRODUCTS, RAW_ORDERS
 from verification import loaded, stand_ins
 from verification.duckdb_tables import from_both, from_orders, from_trips
 from verification.registry import query
@@ -45,6 +45,22 @@ def src_csv_schema(spark, sf_dir):
     return df.withColumn("has_bad_cell", F.col(CORRUPT_RECORD).isNotNull()).drop(CORRUPT_RECORD)
 
 
+@query(
+    from_orders(
+        """select * exclude (bad)
+                  replace (case when bad then null else quantity end as quantity,
+                           case when bad then 'cell_unreadable' else reason end as reason)
+           from (select *, order_id % 701 = 0 as bad from judged_orders)
+           where bad or reason is not null"""
+    )
+)
+def quarantine_corrupt(spark, sf_dir):
+    """Rejected lines of a CSV file, those with an unreadable cell among them."""
+    path = _write_orders_csv(spark, sf_dir)
+    raw = read_csv(spark, path, schema=RAW_ORDERS, keep_corrupt=True)
+    return orders.rejected(raw).drop(CORRUPT_RECORD)
+
+
 @query(from_orders("select * from products"))
 def src_json(spark, sf_dir):
     path = fresh_dir(spark, "products-json")
@@ -82,8 +98,8 @@ def src_parquet_partitioned(spark, sf_dir):
 @query(
     from_both(
         """, s as (
-             select 'orders' as source, count(*) as rows, 9 as columns, 1 as files from raw_orders
-             union all select 'products', count(*), 6, 1 from products
+             select 'orders' as source, count(*) as rows, 9 as columns, 3 as files from raw_orders
+             union all select 'products', count(*), 6, 2 from products
              union all select 'customers', count(*), 5, 1 from customers
              union all
              select 'trips', count(*), 13,
@@ -96,15 +112,17 @@ def src_parquet_partitioned(spark, sf_dir):
     )
 )
 def extract_summary(spark, sf_dir):
-    months = _write_trip_months(spark, sf_dir)
+    at = {name: fresh_dir(spark, f"summary-{name}") for name in ("orders", "products", "customers")}
+    stand_ins.raw_orders(spark, sf_dir).repartition(3).write.option("header", True).csv(at["orders"])
+    stand_ins.products(spark, sf_dir).repartition(2).write.json(at["products"])
+    stand_ins.customers(spark, sf_dir).coalesce(1).write.option("header", True).csv(at["customers"])
     sources = {
-        "orders": stand_ins.raw_orders(spark, sf_dir),
-        "products": stand_ins.products(spark, sf_dir),
-        "customers": stand_ins.customers(spark, sf_dir),
-        "trips": read_parquet(spark, *months),
+        "orders": read_csv(spark, at["orders"], schema=RAW_ORDERS),
+        "products": read_json(spark, at["products"], schema=PRODUCTS),
+        "customers": read_csv(spark, at["customers"], schema=CUSTOMERS),
+        "trips": read_parquet(spark, *_write_trip_months(spark, sf_dir)),
     }
-    files = {"orders": ["1"], "products": ["1"], "customers": ["1"], "trips": months}
-    return source_summary(sources, files)
+    return source_summary(sources)
 
 
 # --- sinks

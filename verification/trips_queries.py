@@ -222,7 +222,8 @@ def _step_rows(domain: str, names: list[str]) -> str:
                  a and trip_distance > 0 and trip_distance < 200 as b,
                  b and total_amount > 0 and total_amount < 500 as c,
                  c and passenger_count > 0 and passenger_count <= 6 as d,
-                 d and year(tpep_pickup_datetime) = 2024 as e,
+                 d and (tip_amount is null or isfinite(tip_amount)) as i,
+                 i and year(tpep_pickup_datetime) = 2024 as e,
                  e and tpep_pickup_datetime < tpep_dropoff_datetime as f,
                  f and trip_duration_min > 1 and trip_duration_min < 180 as g,
                  g and (speed_mph is null or speed_mph < 80) as h
@@ -230,14 +231,15 @@ def _step_rows(domain: str, names: list[str]) -> str:
         trips_n as (
           select count(*) as n0, count(*) filter (where a) as n1, count(*) filter (where b) as n2,
                  count(*) filter (where c) as n3, count(*) filter (where d) as n4,
-                 count(*) filter (where e) as n5, count(*) filter (where f) as n6,
-                 count(*) filter (where g) as n7, count(*) filter (where h) as n8
+                 count(*) filter (where i) as n5, count(*) filter (where e) as n6,
+                 count(*) filter (where f) as n7, count(*) filter (where g) as n8,
+                 count(*) filter (where h) as n9
           from step_flags)
         {_step_rows("orders", ["duplicate_key", "order_id_missing", "unit_price_not_positive",
                                "quantity_not_positive", "customer_id_missing"])}
         union all
         {_step_rows("trips", ["fare_out_of_range", "distance_out_of_range", "total_out_of_range",
-                              "passengers_out_of_range", "outside_period", "not_in_time_order",
+                              "passengers_out_of_range", "tip_not_finite", "outside_period", "not_in_time_order",
                               "duration_implausible", "speed_implausible"])}"""
     )
 )
