@@ -23,7 +23,7 @@ from millrace.operators.dims import lookup, orphan_counts, require_unique
 from millrace.operators.reports import Report
 from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
-from millrace.plans.runlog import run_log
+from millrace.plans.runlog import StageClock, run_log
 from millrace.sources.readers import read_parquet
 from millrace.sources.schemas import CORRUPT_RECORD, RAW_ORDERS
 from millrace.sources.writers import (
@@ -297,17 +297,21 @@ def run(
     the log are aggregates over tables, not metrics observed during the write:
     those count rows twice when a lost executor's tasks run again.
     """
+    clock = StageClock()
     dimension_rows = {
         "products_raw": require_unique(products, "product_id"),
         "customers_raw": require_unique(customers, "customer_id"),
     }
+    clock.end("extract")
     paths = table_paths(root)
     loaded = write_fact(raw, products, customers, paths[FACT])
+    clock.end("transform")
     others = {name: summarise(loaded, spec) for name, spec in SUMMARIES.items()}
     others |= {"dim_products": products, "dim_customers": customers}
     write_tables({paths[name]: df for name, df in others.items()})
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_orders")
+    clock.end("load")
 
     tables = {name: read_parquet(spark, path) for name, path in paths.items() if name != FACT}
     tables[FACT] = loaded
@@ -318,14 +322,21 @@ def run(
     written = {r["table"]: r for r in verify_tables(tables).collect()}
     partitions = verify_partitions(loaded, PARTITIONED_BY).first()
     failures = {r["check"]: r["failures"] for r in checks(loaded).collect()}
+    steps = clean_steps(raw).collect()
+    clock.end("checks")
     log = run_log(
         spark,
         name="orders",
         failures=failures,
         extract={"orders_raw": raw_rows, **dimension_rows},
         issues=audit,
-        rows_before=raw_rows,
-        rows_after=written[FACT]["rows"],
+        steps=steps,
+        last_cleaning_step=HAS_CUSTOMER.name,
+        rows_final=written[FACT]["rows"],
+        columns_before=len(RAW_ORDERS),
+        clock=clock,
+        fact_path=paths[FACT],
+        summaries=list(SUMMARIES),
         final_columns=written[FACT]["columns"],
         loaded={f"{table}_rows": r["rows"] for table, r in written.items()},
         partition_columns=PARTITIONED_BY,

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COUNTS = T.MapType(T.StringType(), T.LongType())
 
+_STEP = T.StructType(
+    [
+        T.StructField("step_no", T.IntegerType()),
+        T.StructField("step", T.StringType()),
+        T.StructField("rows_before", T.LongType()),
+        T.StructField("rows_after", T.LongType()),
+        T.StructField("rows_removed", T.LongType()),
+        T.StructField("removed_pct", T.DoubleType()),
+    ]
+)
+
 SCHEMA = T.StructType(
     [
         T.StructField("pipeline_name", T.StringType()),
         T.StructField("run_timestamp", T.StringType()),
+        T.StructField("ended_at", T.StringType()),
+        T.StructField("stages_ended_at", T.MapType(T.StringType(), T.StringType())),
         T.StructField("status", T.StringType()),
         T.StructField("extract", _COUNTS),
         T.StructField(
@@ -23,9 +37,12 @@ SCHEMA = T.StructType(
                 [
                     T.StructField("rows_before_cleaning", T.LongType()),
                     T.StructField("rows_after_cleaning", T.LongType()),
+                    T.StructField("rows_after_filters", T.LongType()),
                     T.StructField("rows_removed", T.LongType()),
                     T.StructField("removal_rate_pct", T.DoubleType()),
                     T.StructField("final_columns", T.LongType()),
+                    T.StructField("columns_added", T.LongType()),
+                    T.StructField("steps", T.ArrayType(_STEP)),
                     T.StructField("quality_issues_found", _COUNTS),
                 ]
             ),
@@ -36,6 +53,8 @@ SCHEMA = T.StructType(
                 [
                     T.StructField("rows", _COUNTS),
                     T.StructField("output_format", T.StringType()),
+                    T.StructField("fact_path", T.StringType()),
+                    T.StructField("summaries", T.ArrayType(T.StringType())),
                     T.StructField("partition_columns", T.ArrayType(T.StringType())),
                     T.StructField("partitions", T.LongType()),
                     T.StructField("root", T.StringType()),
@@ -55,6 +74,21 @@ SCHEMA = T.StructType(
 )
 
 
+def now() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+@dataclass
+class StageClock:
+    """When a run began, and when each of its stages ended."""
+
+    started: str = field(default_factory=now)
+    ended: dict[str, str] = field(default_factory=dict)
+
+    def end(self, stage: str) -> None:
+        self.ended[stage] = now()
+
+
 def run_log(
     spark: SparkSession,
     *,
@@ -62,33 +96,51 @@ def run_log(
     failures: Mapping[str, int],
     extract: Mapping[str, int],
     issues: Mapping[str, int],
-    rows_before: int,
-    rows_after: int,
+    steps: Sequence[Row],
+    last_cleaning_step: str,
+    rows_final: int,
+    columns_before: int,
     final_columns: int,
+    clock: StageClock,
+    fact_path: str,
+    summaries: Sequence[str],
     loaded: Mapping[str, int],
     partition_columns: Sequence[str],
     partitions: int,
     root: str,
 ) -> DataFrame:
-    """Status and numbers come from the run; no check is taken as passed unseen."""
+    """Status and numbers come from the run; no check is taken as passed unseen.
+
+    ``steps`` are the rows of ``step_counts``; cleaning ends with the step named, and what
+    comes after it filters on derived columns.
+    """
     passed = not any(failures.values())
-    removed = rows_before - rows_after
+    by_name = {step["step"]: step for step in steps}
+    rows_before = by_name["all"]["rows_before"]
+    removed = rows_before - rows_final
     row = {
         "pipeline_name": name,
-        "run_timestamp": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
+        "run_timestamp": clock.started,
+        "ended_at": now(),
+        "stages_ended_at": dict(clock.ended),
         "status": "SUCCESS" if passed else "FAILED",
         "extract": dict(extract),
         "transform": {
             "rows_before_cleaning": rows_before,
-            "rows_after_cleaning": rows_after,
+            "rows_after_cleaning": by_name[last_cleaning_step]["rows_after"],
+            "rows_after_filters": rows_final,
             "rows_removed": removed,
             "removal_rate_pct": round(removed / rows_before * 100, 1) if rows_before else None,
             "final_columns": final_columns,
+            "columns_added": final_columns - columns_before,
+            "steps": [step.asDict() for step in steps],
             "quality_issues_found": dict(issues),
         },
         "load": {
             "rows": dict(loaded),
             "output_format": "Parquet",
+            "fact_path": fact_path,
+            "summaries": list(summaries),
             "partition_columns": list(partition_columns),
             "partitions": partitions,
             "root": root,
@@ -125,4 +177,16 @@ def log_entries(log: DataFrame) -> DataFrame:
     ).select("pipeline_name", "status", "s.section", F.explode("s.m").alias("entry", "value"))
 
 
-_TRANSFORM = ("rows_before_cleaning", "rows_after_cleaning", "rows_removed", "final_columns")
+def log_steps(log: DataFrame) -> DataFrame:
+    """(pipeline_name, step_no, step, rows_before, rows_after, rows_removed, removed_pct)."""
+    return log.select("pipeline_name", F.inline("transform.steps"))
+
+
+_TRANSFORM = (
+    "rows_before_cleaning",
+    "rows_after_cleaning",
+    "rows_after_filters",
+    "rows_removed",
+    "final_columns",
+    "columns_added",
+)

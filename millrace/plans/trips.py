@@ -13,7 +13,7 @@ from millrace.operators.clean import require, set_aside, step_counts
 from millrace.operators.reports import Report
 from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
-from millrace.plans.runlog import run_log
+from millrace.plans.runlog import StageClock, run_log
 from millrace.sources.readers import read_parquet
 from millrace.sources.writers import (
     append_json,
@@ -295,12 +295,15 @@ def table_paths(root: str) -> dict[str, str]:
 
 def run(spark: SparkSession, raw: DataFrame, root: str, quarantine: bool = False) -> DataFrame:
     """Load fact and summaries below ``root`` and return the run's log, one row."""
+    clock = StageClock()
     paths = table_paths(root)
     loaded = write_fact(raw, paths[FACT])
+    clock.end("transform")
     if quarantine:
         write_table(rejected(raw), f"{root}/rejected_trips")
 
     write_tables({paths[name]: summary(name, loaded) for name in SUMMARIES})
+    clock.end("load")
     tables = {name: read_parquet(spark, paths[name]) for name in SUMMARIES}
     tables[FACT] = loaded
 
@@ -316,8 +319,13 @@ def run(spark: SparkSession, raw: DataFrame, root: str, quarantine: bool = False
         failures={r["check"]: r["failures"] for r in checks(loaded).collect()},
         extract={"trips_raw": raw_rows, "trips_columns": len(raw.columns)},
         issues=issues,
-        rows_before=raw_rows,
-        rows_after=written[FACT]["rows"],
+        steps=clean_steps(raw).collect(),
+        last_cleaning_step=TIME_ORDER.name,
+        rows_final=written[FACT]["rows"],
+        columns_before=len(raw.columns),
+        clock=clock,
+        fact_path=paths[FACT],
+        summaries=list(SUMMARIES),
         final_columns=written[FACT]["columns"],
         loaded={f"{table}_rows": r["rows"] for table, r in written.items()},
         partition_columns=PARTITIONED_BY,

@@ -14,6 +14,7 @@ _TYPES = {
     "string": T.StringType(),
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampNTZType(),
+    "date": T.DateType(),
 }
 
 
@@ -41,6 +42,7 @@ PRODUCTS = _struct(
     brand="string",
     cost_price="double",
     is_active="boolean",
+    weight_kg="double",
 )
 
 CUSTOMERS = _struct(
@@ -49,6 +51,8 @@ CUSTOMERS = _struct(
     city="string",
     country="string",
     customer_segment="string",
+    email="string",
+    signup_date="date",
 )
 
 CORRUPT_RECORD = "_corrupt_record"

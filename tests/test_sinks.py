@@ -172,6 +172,9 @@ def test_trips_run_end_to_end(spark, tmp_path):
     assert log["transform"]["rows_before_cleaning"] == 4
     assert log["transform"]["quality_issues_found"]["negative_fares"] == 1
     assert log["load"]["rows"]["fact_trips_rows"] == 2
+    assert log["transform"]["columns_added"] == 15 and log["transform"]["rows_after_cleaning"] == 2
+    assert [s["step"] for s in log["transform"]["steps"]][-1] == "all"
+    assert set(log["stages_ended_at"]) == {"transform", "load"}
     assert log["load"]["partition_columns"] == ["pickup_month"]
     assert spark.read.parquet(f"{root}/rejected_trips").count() == 2
     empty = trips.run(spark, raw.limit(0), str(tmp_path / "e")).first()

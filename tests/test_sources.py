@@ -50,7 +50,8 @@ def test_csv_inferred(spark, tmp_path):
 
 
 PRODUCT = dict(
-    product_id=1, product_name="p", category="Toys", brand="b", cost_price=1.5, is_active=True
+    product_id=1, product_name="p", category="Toys", brand="b", cost_price=1.5, is_active=True,
+    weight_kg=0.5,
 )
 
 

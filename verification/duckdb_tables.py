@@ -46,14 +46,17 @@ raw_orders as (
   select * from raw0 union all select * from raw0 where order_id % 2500 = 1),
 products as (
   select p_partkey as product_id, p_name as product_name, p_type as category,
-         p_brand as brand, p_retailprice / 2 as cost_price, p_size % 20 <> 0 as is_active
+         p_brand as brand, p_retailprice / 2 as cost_price, p_size % 20 <> 0 as is_active,
+         p_size / 10.0::double as weight_kg
   from part),
 customers as (
   select cast(c_custkey as int) as customer_id, c_name as customer_name,
          case when c_nationkey % 3 = 0 then 'North' when c_nationkey % 3 = 1 then 'South'
               else 'West' end as city,
          case when c_nationkey < 15 then 'USA' else 'India' end as country,
-         c_mktsegment as customer_segment
+         c_mktsegment as customer_segment,
+         case when c_custkey % 13 = 0 then null else 'c' || c_custkey || '@example.com' end as email,
+         cast(date '2019-01-01' + cast(c_custkey % 1500 as int) as date) as signup_date
   from customer),
 ranked as (
   select *, row_number() over (partition by order_id order by {_ORDER_BY}) as rn

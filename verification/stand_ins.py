@@ -54,6 +54,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
             "p_brand as brand",
             "p_retailprice / 2 as cost_price",
             "p_size % 20 <> 0 as is_active",
+            "p_size / 10.0D as weight_kg",
         )
     )
 
@@ -67,6 +68,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             "case c_nationkey % 3 when 0 then 'North' when 1 then 'South' else 'West' end as city",
             "if(c_nationkey < 15, 'USA', 'India') as country",
             "c_mktsegment as customer_segment",
+            "if(c_custkey % 13 = 0, null, concat('c', c_custkey, '@example.com')) as email",
+            "date_add(date'2019-01-01', cast(c_custkey % 1500 as int)) as signup_date",
         )
     )
 

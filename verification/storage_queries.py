@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from millrace.operators.reuse import reused
 from millrace.operators.summaries import summarise
 from millrace.plans import orders, trips
-from millrace.plans.runlog import log_entries, read_log
+from millrace.plans.runlog import log_entries, log_steps, read_log
 from millrace.session import fresh_dir
 from millrace.sources import storage, writers
 from millrace.sources.readers import read_csv, read_json, read_parquet, source_summary
 from millrace.sources.schemas import CORRUPT_RECORD, CUSTOMERS, PRODUCTS, RAW_ORDERS
 from verification import loaded, stand_ins
 from verification.duckdb_tables import from_both, from_orders, from_trips
-from verification.registry import query
+from verification.registry import ORACLES, query
+from verification.trips_queries import clean_stats  # noqa: F401  its oracle is used below
 
 # --- sources
 
@@ -99,8 +100,8 @@ def src_parquet_partitioned(spark, sf_dir):
     from_both(
         """, s as (
              select 'orders' as source, count(*) as rows, 9 as columns, 3 as files from raw_orders
-             union all select 'products', count(*), 6, 2 from products
-             union all select 'customers', count(*), 5, 1 from customers
+             union all select 'products', count(*), 7, 2 from products
+             union all select 'customers', count(*), 7, 1 from customers
              union all
              select 'trips', count(*), 13,
                     count(distinct strftime(tpep_pickup_datetime, '%Y-%m')) from raw_trips)
@@ -145,13 +146,16 @@ def sink_fact_trips(spark, sf_dir):
 
 @query(
     from_orders(
-        """select 'products' as dimension, product_id as id, product_name as name,
-                  category as grouping_name from products
-           union all
-           select 'customers', customer_id, customer_name, customer_segment from customers"""
+        """select product_id as id, * exclude (product_id), null::varchar as customer_name,
+                  null::varchar as city, null::varchar as country,
+                  null::varchar as customer_segment, null::varchar as email,
+                  null::date as signup_date from products
+           union all by name
+           select cast(customer_id as bigint) as id, * exclude (customer_id) from customers"""
     )
 )
 def sink_dims(spark, sf_dir):
+    """Every column of both dimensions, as read back."""
     root = fresh_dir(spark, "dims")
     dims = {
         f"{root}/products": stand_ins.products(spark, sf_dir),
@@ -159,18 +163,9 @@ def sink_dims(spark, sf_dir):
     }
     writers.write_tables(dims)
     products, customers = (read_parquet(spark, path) for path in dims)
-    return products.select(
-        F.lit("products").alias("dimension"),
-        F.col("product_id").alias("id"),
-        F.col("product_name").alias("name"),
-        F.col("category").alias("grouping_name"),
-    ).unionByName(
-        customers.select(
-            F.lit("customers").alias("dimension"),
-            F.col("customer_id").cast("bigint").alias("id"),
-            F.col("customer_name").alias("name"),
-            F.col("customer_segment").alias("grouping_name"),
-        )
+    by_id = customers.withColumn("id", F.col("customer_id").cast("bigint")).drop("customer_id")
+    return products.withColumnRenamed("product_id", "id").unionByName(
+        by_id, allowMissingColumns=True
     )
 
 
@@ -241,8 +236,8 @@ def reuse_cached(spark, sf_dir):
 
 _WRITTEN = """
     select 'fact_orders' as "table", count(*) as rows, 31 as columns from orders_fact
-    union all select 'dim_products', count(*), 6 from products
-    union all select 'dim_customers', count(*), 5 from customers
+    union all select 'dim_products', count(*), 7 from products
+    union all select 'dim_customers', count(*), 7 from customers
     union all select 'agg_daily_summary', count(*), 7 from agg_daily_orders
     union all select 'agg_category_summary', count(*), 7 from agg_category_orders
     union all select 'fact_trips', count(*), 28 from trips_fact
@@ -291,6 +286,8 @@ entries as (
   union all select 'orders', 'extract', 'customers_raw', count(*) from customers
   union all select 'orders', 'transform', 'rows_before_cleaning', count(*) from raw_orders
   union all select 'orders', 'transform', 'rows_after_cleaning', count(*) from clean_orders
+  union all select 'orders', 'transform', 'rows_after_filters', count(*) from clean_orders
+  union all select 'orders', 'transform', 'columns_added', 22
   union all select 'orders', 'transform', 'rows_removed', count(*) from rejected_orders
   union all select 'orders', 'transform', 'final_columns', 31
   union all select 'orders', 'issues', 'negative_price', count(*) from raw_orders
@@ -306,7 +303,9 @@ entries as (
   union all select 'trips', 'extract', 'trips_raw', count(*) from raw_trips
   union all select 'trips', 'extract', 'trips_columns', 13
   union all select 'trips', 'transform', 'rows_before_cleaning', count(*) from raw_trips
-  union all select 'trips', 'transform', 'rows_after_cleaning', count(*) from trips_fact
+  union all select 'trips', 'transform', 'rows_after_cleaning', count(*) from clean_trips
+  union all select 'trips', 'transform', 'rows_after_filters', count(*) from trips_fact
+  union all select 'trips', 'transform', 'columns_added', 15
   union all select 'trips', 'transform', 'rows_removed', count(*) from rejected_trips
   union all select 'trips', 'transform', 'final_columns', 28
   union all select 'trips', 'issues', 'negative_fares', count(*) from raw_trips
@@ -341,3 +340,11 @@ def run_log(spark, sf_dir):
     roots = (loaded.orders_root(spark, sf_dir), loaded.trips_root(spark, sf_dir))
     logs = [log_entries(read_log(spark, f"{root}/run_log")) for root in roots]
     return reduce(DataFrame.unionByName, logs)
+
+
+@query(f"select domain as pipeline_name, * exclude (domain) from ({ORACLES['clean_stats']})")
+def run_log_steps(spark, sf_dir):
+    """The steps of both runs, with rows before, after and removed, as the logs hold them."""
+    roots = (loaded.orders_root(spark, sf_dir), loaded.trips_root(spark, sf_dir))
+    logs = [log_steps(read_log(spark, f"{root}/run_log")) for root in roots]
+    return reduce(DataFrame.unionByName, logs)
