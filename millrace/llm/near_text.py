@@ -227,13 +227,15 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     rows = kept(sketches(texts, words), "sketches")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same_set = ["f1", "f2", "n_shingles"]
-    firsts = full.groupBy(*same_set).agg(F.min("doc_id").alias("first"))
+    # Written, so that the join may split a set that very many documents share.
+    firsts = kept(full.groupBy(*same_set).agg(F.min("doc_id").alias("first")), "first-copies")
     copies = kept(full.join(firsts, same_set).select("doc_id", "first", "hashes"), "copies")
     sets = copies.where("doc_id = first").select("doc_id", "hashes")
     families = components(_family_links(sets))
     families = kept(families.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     counted = families.join(families.groupBy("family").agg(F.count("*").alias("rows")), "family")
-    members = kept(texts.join(counted, "doc_id"), "family-texts")
+    # Texts move to their families once, in the same way whatever the size.
+    members = kept(texts.join(counted.hint("merge"), "doc_id"), "family-texts")
     confirmed = _confirmed(members, words, percent)
     same = copies.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     classes = components(confirmed.union(same))
