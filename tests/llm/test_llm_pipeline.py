@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from corpus_rows import SCHEMA, awkward_texts, frame
 from test_llm_decontaminate import expected as hits
@@ -5,7 +7,6 @@ from test_llm_lines import expected as line_rows
 from test_llm_near_text import expected as classes
 
 import corpus_pipeline
-from millrace.llm import lines
 from millrace.llm.pieces import load_vocabulary
 from millrace.llm.sentencepieces import text_of
 from millrace.llm.tables import table
@@ -29,7 +30,8 @@ def test_each_stage_equals_brute_force_on_what_it_gets(spark, sf_dir):
     assert whole.columns == columns
     texts = [(r.doc_id, r.text) for r in told.collect()]
     again = [(r.doc_id, r.text) for r in whole.collect()]
-    assert {(i, h) for i, _, _, h in line_rows(texts)} == {(i, __import__("hashlib").sha256(t.encode()).hexdigest()) for i, t in again}
+    got = {(i, hashlib.sha256(t.encode()).hexdigest()) for i, t in again}
+    assert got == {(i, h) for i, _, _, h in line_rows(texts)}
     assert whole.where("n_chars <> length(text)").count() == 0
 
     single = stage["minhash_dedup"](spark, whole, sf_dir).cache()
@@ -56,4 +58,3 @@ def test_awkward_rows_go_through_all_stages(spark, sf_dir, rows):
         docs = stage(spark, docs, sf_dir)
     assert docs.columns[:5] == [c.split()[0] for c in SCHEMA.split(", ")]
     docs.collect()
-    assert lines is not None
