@@ -202,18 +202,19 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
     def start() -> Worker:
         def work(texts: list) -> list:
             found = bucket_counts(texts)
-            return [[b for b, _ in found], [c for _, c in found]]
+            # As bytes: the driver holds all of the sample, and numbers as objects take tenfold.
+            return [[b.tobytes() for b, _ in found], [c.tobytes() for _, c in found]]
 
         return work
 
-    features = add_columns(picked, start, "buckets array<int>, counts array<int>", keep=["lang", "place"])
+    features = add_columns(picked, start, "buckets binary, counts binary", keep=["lang", "place"])
     found = sorted(features.collect(), key=lambda r: (r["place"], r["lang"]))
     taken: dict[str, int] = {}
     chosen = []
     for r in found:
         taken[r["lang"]] = taken.get(r["lang"], 0) + 1
         if taken[r["lang"]] <= each:
-            chosen.append((r["lang"], np.array(r["buckets"], np.int32), np.array(r["counts"], np.int32)))
+            chosen.append((r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)))
     return train(chosen)
 
 
