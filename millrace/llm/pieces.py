@@ -27,7 +27,7 @@ LITERAL_MARK = "\udc01"
 UNKNOWN_PENALTY = 10.0
 #: Words up to this many characters are remembered, up to so many words per task.
 MEMO_CHARS = 48
-MEMO_WORDS = 150_000
+MEMO_WORDS = 400_000
 
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
