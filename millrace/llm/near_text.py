@@ -9,15 +9,19 @@
 3. Table rows are range-partitioned by key and document, so a key that very many documents
    share spans partitions. Each partition streams its runs and links every document to the
    first and to the one before it; the runs that reach a partition's edge are linked by key.
-4. Links whose minhashes agree in half of the places make families. A family holds whatever
-   may be near, so what is left is to compare inside families, exactly and on full sets.
+4. Links whose minhashes agree in half of the places make families. Where a run still holds
+   several families, every document outside its largest one is compared with all others of
+   the run, by minhashes, in tiles of two blocks: whatever stands between two documents of a
+   run, they are compared. A family then holds whatever may be near, so what is left is to
+   compare inside families, exactly and on full sets.
 5. Families of up to BLOCK sets are compared whole, several in a task. Larger ones are cut
    into blocks; each block is compared whole and with the family's first document. Then
    every document outside the largest class found so far is compared with all others of its
    family, in tiles of two blocks. Tasks return a forest of the links they find, never pairs.
 
 Work inside a family grows with the number of documents outside its largest class, times its
-size. Nothing is capped: blocks only bound what one task holds.
+size, and work inside a run with the number outside its largest family, times its size.
+Nothing is capped: blocks only bound what one task holds.
 
 Defined cases: a null or empty text, or one without words, has no shingles and links with
 nothing; fewer words than a shingle make one shingle; rows that share a doc_id are one
@@ -50,6 +54,10 @@ N_HASHES = 2 * SIDE * PER_KEY
 #: Share of equal minhashes from which a link counts for families; well below the threshold.
 FAMILY_SHARE = 0.5
 BLOCK = 96
+#: Documents of a run in a block; they are held as N_HASHES bytes each.
+RUN_BLOCK = 2048
+#: Up to this size a run's links to the first and the previous one are all its pairs.
+ALL_LINKED = 3
 TEXT_CHUNK = 2 * 1024 * 1024
 
 SKETCH = "n_shingles long, f1 long, f2 long, hashes binary"
@@ -88,12 +96,34 @@ def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of sorted (key, doc_id) rows: to the first and the previous of the run.
 
-    Rows with a key are the first documents of this partition's first and last run.
+    Rows with a key are the first documents of this partition's first and last run. Rows with a
+    key and no b are members of runs of more than ALL_LINKED documents, and of those two.
     """
 
-    def rows(a, b, key=None) -> pa.RecordBatch:
+    def rows(a, b=None, key=None) -> pa.RecordBatch:
+        b = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
         key = pa.nulls(len(a), pa.int64()) if key is None else pa.array(key)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), key], ["a", "b", "key"])
+        return pa.RecordBatch.from_arrays([pa.array(a), b, key], ["a", "b", "key"])
+
+    # Of the run that is not over yet: members not given out, or else its key.
+    held = np.zeros((2, 0), np.int64)
+    wide = None
+
+    def members(key: np.ndarray, doc: np.ndarray) -> Iterator[pa.RecordBatch]:
+        nonlocal held, wide
+        key, doc = np.concatenate([held[0], key]), np.concatenate([held[1], doc])
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+        key, doc = key[new], doc[new]
+        begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        sizes = np.diff(np.append(begins, len(key)))
+        out = sizes > ALL_LINKED
+        out[0] |= wide is not None and key[0] == wide
+        wide = key[-1] if out[-1] else None
+        out = np.repeat(out, sizes)
+        held = np.zeros((2, 0), np.int64) if wide is not None else np.stack([key, doc])[:, begins[-1] :]
+        if out.any():
+            yield rows(doc[out], key=key[out])
 
     last_key = first_doc = last_doc = None
     for batch in batches:
@@ -102,7 +132,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
         if last_key is None:
             yield rows(doc[:1], doc[:1], key[:1])
-        else:
+            wide = key[0]
+        yield from members(key, doc)
+        if last_key is not None:
             key = np.concatenate(([last_key], key))
             doc = np.concatenate(([last_doc], doc))
         new = np.ones(len(key), bool)
@@ -120,14 +152,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, first_doc, last_doc = key[-1], first[-1], doc[-1]
     if last_key is not None:
         yield rows(np.array([first_doc]), np.array([first_doc]), np.array([last_key]))
+        if held.size:
+            yield rows(held[1], key=held[0])
 
 
-def _family_links(sets: DataFrame) -> DataFrame:
-    """Links (a, b) between documents that share a table key and half of their minhashes."""
+def _families(sets: DataFrame) -> DataFrame:
+    """Components of the pairs that share a table key and half of their minhashes."""
     keys = sets.select("doc_id", "hashes").mapInArrow(_table_keys, "key long, doc_id long")
     sorted_keys = keys.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
     found = kept(sorted_keys.mapInArrow(_runs, "a long, b long, key long"), "runs")
-    edges = found.where(F.col("key").isNotNull())  # two per partition at most
+    edges = found.where("key is not null and b is not null")  # two per partition at most
     firsts = edges.groupBy("key").agg(F.min("a").alias("first"))
     across = edges.join(firsts, "key").select("a", F.col("first").alias("b")).where("a <> b")
     pairs = found.where(F.col("key").isNull()).select("a", "b").union(across)
@@ -135,7 +169,79 @@ def _family_links(sets: DataFrame) -> DataFrame:
     # One byte of each minhash tells agreement well enough here.
     small = sets.select("doc_id", _one_byte("hashes").alias("bytes"))
     both = pairs.join(small.toDF("a", "x"), "a").join(small.toDF("b", "y"), "b")
-    return both.where(_agreeing("x", "y") >= FAMILY_SHARE * N_HASHES).select("a", "b")
+    labels = components(both.where(_agreeing("x", "y") >= FAMILY_SHARE * N_HASHES).select("a", "b"))
+    members = found.where("key is not null and b is null").select("key", F.col("a").alias("doc_id")).distinct()
+    more = _across_families(members, labels, small)
+    return labels if more is None else components(labels.toDF("a", "b").union(more))
+
+
+def _across_families(members: DataFrame, labels: DataFrame, small: DataFrame) -> DataFrame | None:
+    """Links between the families that meet in a run; ``members`` has key and doc_id."""
+    members = kept(
+        members.join(labels, F.col("doc_id") == F.col("node"), "left")
+        .select("key", "doc_id", F.coalesce("component", "doc_id").alias("family")),
+        "run-members",
+    )
+    sizes = members.groupBy("key", "family").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("same"))
+    runs = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "family")).alias("top"),
+        F.sum("n").alias("all"),
+        F.count("*").alias("families"),
+        F.bit_xor("same").alias("same"),
+    )
+    # Tables often give the same run again.
+    once = runs.where("families > 1").groupBy("same", "all").agg(F.min_by("top", "key").alias("top"), F.min("key").alias("key"))
+    once = kept(once, "open-runs")
+    total = once.agg(F.sum("all")).first()[0]
+    if not total:
+        return None
+    run = members.join(once, "key").select(
+        "key",
+        "doc_id",
+        (F.col("family") != F.col("top.family")).alias("outside"),
+        F.ceil(F.col("all") / RUN_BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("top.n")) / RUN_BLOCK).cast("int").alias("out_blocks"),
+    )
+    run = run.join(small, "doc_id")
+    # Every member meets each block of documents outside, and those meet every block.
+    every = run.select(
+        "*",
+        F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("out_block"),
+        F.lit(False).alias("guest"),
+    )
+    guests = run.where("outside").select(
+        "*",
+        F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("out_blocks")).cast("int").alias("out_block"),
+        F.lit(True).alias("guest"),
+    )
+    # Runs of one block, several in a task.
+    packs = F.lit(max(1, math.ceil(total / RUN_BLOCK)))
+    pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), packs)).otherwise(F.col("key"))
+    tiles = every.unionByName(guests).select(
+        "key", "doc_id", "bytes", "guest", F.struct(pack.alias("pack"), "blocks", "block", "out_block").alias("tile")
+    )
+    return kept(tiles.groupBy("tile").applyInPandas(_half_agreeing, "a long, b long"), "across")
+
+
+def _half_agreeing(tile: pd.DataFrame) -> pd.DataFrame:
+    """Forest of the links between the guests and the members of each run in a tile."""
+    tile = tile.sort_values("key", kind="stable")
+    key, ids, guest = (tile[c].to_numpy() for c in ("key", "doc_id", "guest"))
+    hashes = np.frombuffer(b"".join(tile["bytes"]), np.uint8).reshape(len(tile), -1)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    for low, high in zip(begins, np.append(begins[1:], len(key))):
+        x, y = low + np.flatnonzero(guest[low:high]), low + np.flatnonzero(~guest[low:high])
+        same = np.zeros((len(x), len(y)), np.uint8)
+        for i in range(hashes.shape[1]):
+            same += hashes[x, i][:, None] == hashes[y, i]
+        left, right = np.nonzero(same >= FAMILY_SHARE * N_HASHES)
+        left, right = forest(ids[x[left]], ids[y[right]]) if len(left) else (ids[:0], ids[:0])
+        a.append(left)
+        b.append(right)
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 @F.pandas_udf(T.BinaryType())
@@ -231,7 +337,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     firsts = kept(full.groupBy(*same_set).agg(F.min("doc_id").alias("first")), "first-copies")
     copies = kept(full.join(firsts, same_set).select("doc_id", "first", "hashes"), "copies")
     sets = copies.where("doc_id = first").select("doc_id", "hashes")
-    families = components(_family_links(sets))
+    families = _families(sets)
     families = kept(families.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     counted = families.join(families.groupBy("family").agg(F.count("*").alias("rows")), "family")
     # Texts move to their families once, in the same way whatever the size.

@@ -46,6 +46,45 @@ def test_classes_equal_brute_force(spark, k, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == expected(texts, k)
 
 
+def sketch(rng, keys, half=None):
+    """Minhashes with the keys of ``keys`` as given; the others share one place of two with ``half``."""
+    out = rng.integers(0, 1 << 32, near_text.N_HASHES, dtype=np.uint32)
+    if half is not None:
+        out[::2] = half[::2]
+    for k, value in keys.items():
+        out[2 * k : 2 * k + 2] = value
+    return out
+
+
+@pytest.mark.parametrize("run_block", [5, 2048])
+def test_near_pair_meets_past_dissimilar_documents_of_its_run(spark, monkeypatch, run_block):
+    monkeypatch.setattr(near_text, "RUN_BLOCK", run_block)
+    rng = np.random.default_rng(2)
+    shared = {0: (1, 2), near_text.SIDE: (3, 4)}  # one left and one right key: one table
+    near = sketch(rng, shared)
+    rows = [(10, near), (30, sketch(rng, shared, near))]
+    rows += [(i, sketch(rng, shared)) for i in range(1, 40) if i not in (10, 30)]
+    rows += [(i, sketch(rng, {})) for i in range(100, 120)]
+    sets = spark.createDataFrame([(i, bytearray(h.tobytes())) for i, h in rows], "doc_id long, hashes binary")
+    found = {r.node: r.component for r in near_text._families(sets.repartition(3)).collect()}
+    assert found == {10: 10, 30: 10}
+
+
+def test_members_of_runs_over_batches_and_edges():
+    import pyarrow as pa
+
+    key = [1, 2, 2, 2, 2, 2, 2, 3, 3, 3, 4, 5, 5, 5, 5, 6, 6]
+    doc = [1, 1, 2, 2, 3, 4, 5, 1, 2, 3, 9, 1, 2, 3, 3, 7, 8]
+    wide = {(1, 1), (6, 7), (6, 8)} | {(2, d) for d in (1, 2, 3, 4, 5)}  # the edges, and runs of four documents
+    for size in (1, 2, 3, 5, 20):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(key[i : i + size]), pa.array(doc[i : i + size])], ["key", "doc_id"])
+            for i in range(0, len(key), size)
+        ]
+        rows = [r for batch in near_text._runs(iter(batches)) for r in batch.to_pylist()]
+        assert {(r["key"], r["a"]) for r in rows if r["key"] is not None and r["b"] is None} == wide
+
+
 def test_one_of_each_class_stays(spark):
     texts = awkward_texts(10)
     docs = frame(spark, texts, clashing=True)
