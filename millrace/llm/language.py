@@ -5,12 +5,16 @@ BUCKETS rows of an embedding table. A text is the mean of its subwords' rows; a
 and a softmax give the languages. Both layers are trained on the driver in numpy by stochastic
 gradient descent, on a bounded sample of labelled texts: at most ``sample`` texts, shared out
 evenly among the languages, each as its counts per bucket (so at most BUCKETS numbers a text,
-however long). A fifth of the sample calibrates: a temperature (1 or more, so confidence is never sharpened) that makes the softmax's
-confidence honest, and the confidence below which a text is rejected, set so that RISK of the
-rightly labelled calibration texts would be lost, and never above MOST_CONFIDENCE.
+however long). A fifth of the sample calibrates: a temperature (1 or more, so confidence is never
+sharpened) that makes the softmax's confidence honest, and two bounds below either of which a text
+is rejected. One is on the confidence. The other is on how usual the text's subwords are: the mean
+log of their share in the learned texts, all languages alike, over an even share; it means the same
+for any number of languages, also for one, whose confidence is always 1. Each bound is set so that
+RISK of the rightly labelled calibration texts would be lost; where those are too few to tell, it
+is at the least of them or TAIL deviations below their mean, whichever is lower.
 
-Since the mean and the layer are linear, prediction needs one number per bucket and language:
-every text, whole, is a sum of table rows.
+Since the mean and the layer are linear, prediction needs one number per bucket and language, and
+one for how usual the bucket is: every text, whole, is a sum of table rows.
 
 Defined cases: a text that is null or has no letter is `und` with score 0 and is rejected; with
 no labelled text at all every text is; one language alone gets score 1; rows with a null
@@ -40,7 +44,10 @@ LEAST_STEPS = 400
 BATCH = 32
 RATE = 4.0
 RISK = 0.002
-MOST_CONFIDENCE = 0.4
+#: Deviations below the mean of a normal variable at which RISK is left.
+TAIL = 2.88
+#: Share of an even spread mixed into the shares of buckets, for those not seen.
+EVEN = 0.01
 #: Byte positions worked on at once.
 STRIDE = 1 << 20
 UNKNOWN = "und"
@@ -110,19 +117,22 @@ def bucket_counts(texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
-    table: np.ndarray  # (BUCKETS + 1, languages): embeddings times layer; the last row is none
+    table: np.ndarray  # (BUCKETS + 1, languages + 1): embeddings times layer, how usual; the last row is none
     bias: np.ndarray
     temperature: float
     threshold: float
+    least_usual: float
 
-    def logits(self, texts: list) -> np.ndarray:
-        total = np.zeros((len(texts), len(self.languages)))
+    def logits(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of each text, and how usual its subwords are."""
+        total = np.zeros((len(texts), self.table.shape[1]))
         n = np.zeros(len(texts))
         for owners, starts, orders in _blocks(texts):
             for buckets in orders:
                 total[owners] += np.add.reduceat(self.table[buckets], starts, axis=0)
                 n[owners] += np.add.reduceat((buckets != BUCKETS).astype(np.int32), starts)
-        return total / np.maximum(n, 1)[:, None] + self.bias
+        mean = total / np.maximum(n, 1)[:, None]
+        return mean[:, :-1] + self.bias, mean[:, -1]
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -165,17 +175,27 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Lang
             bias -= 0.1 * rate / len(batch) * slope.sum(axis=0)
             embedding[used] -= rate * (means.T @ back)
             step += 1
-    table = np.vstack([embedding @ layer, np.zeros((1, len(languages)))]).astype(np.float32)
-    scores = np.array(
-        [(table[b] * (c / max(1, c.sum()))[:, None]).sum(axis=0) + bias for _, b, c in (rows[i] for i in np.flatnonzero(held))]
-    )
-    return LanguageModel(languages, table, bias, *_calibrate(scores, labels[held]))
+    usual = _usual([rows[i] for i in learned], labels[learned])
+    table = np.vstack([np.column_stack([embedding @ layer, usual]), np.zeros((1, len(languages) + 1))]).astype(np.float32)
+    means = np.array(
+        [(table[b] * (c / max(1, c.sum()))[:, None]).sum(axis=0) for _, b, c in (rows[i] for i in np.flatnonzero(held))]
+    ).reshape(-1, len(languages) + 1)
+    return LanguageModel(languages, table, bias, *_calibrate(means[:, :-1] + bias, means[:, -1], labels[held]))
+
+
+def _usual(rows: list[tuple[str, np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """Log of each bucket's share over an even share; texts of a language, then languages, count alike."""
+    share = np.zeros(BUCKETS)
+    texts = np.bincount(labels)
+    for (_, b, c), label in zip(rows, labels):
+        share[b] += c / max(1, c.sum()) / texts[label]
+    return np.log(EVEN + (1 - EVEN) * BUCKETS * share / max(share.sum(), 1e-12))
 
 
-def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Temperature of least loss, and the confidence below which a text is rejected."""
+def _calibrate(logits: np.ndarray, usual: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
+    """Temperature of least loss; the confidence, and how usual a text is, below which it is rejected."""
     if not len(labels):
-        return 1.0, 0.0
+        return 1.0, 0.0, -np.inf
     at = np.arange(len(labels))
 
     def loss(temperature: float) -> float:
@@ -184,8 +204,18 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     temperature = min(np.geomspace(1, 20, 61), key=loss)
     sure = softmax(logits / temperature)
     right = sure.argmax(axis=1) == labels
-    confident = np.quantile(sure.max(axis=1)[right], RISK) if right.any() else 0.0
-    return float(temperature), float(min(MOST_CONFIDENCE, confident))
+    if not right.any():
+        return float(temperature), 0.0, -np.inf
+    confidence = np.minimum(sure.max(axis=1)[right].astype(float), 1 - 1e-12)
+    odds = _lower_bound(np.log(confidence / (1 - confidence)))
+    return float(temperature), float(1 / (1 + np.exp(-odds))), _lower_bound(usual[right])
+
+
+def _lower_bound(values: np.ndarray) -> float:
+    """What RISK of such values lie below."""
+    if len(values) * RISK >= 1:
+        return float(np.quantile(values, RISK))
+    return float(min(values.min(), values.mean() - TAIL * values.std()))
 
 
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
@@ -222,10 +252,13 @@ def _worker(model: LanguageModel | None) -> Callable[[], Worker]:
     def start() -> Worker:
         def work(texts: list) -> list:
             if model is None:
-                return [[UNKNOWN] * len(texts), [0.0] * len(texts)]
-            sure = softmax(model.logits(texts) / model.temperature)
+                return [[UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)]
+            logits, usual = model.logits(texts)
+            sure = softmax(logits / model.temperature)
             best = sure.argmax(axis=1)
-            return [[model.languages[i] for i in best], pa.array(sure[np.arange(len(texts)), best])]
+            score = sure[np.arange(len(texts)), best]
+            low = (score < model.threshold) | (usual < model.least_usual)
+            return [[model.languages[i] for i in best], pa.array(score), pa.array(low)]
 
         return work
 
@@ -236,13 +269,13 @@ def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | Non
     """``keep`` (default: all columns) with lang_pred, score and rejected."""
     keep = docs.columns if keep is None else keep
     marked = docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found = add_columns(marked, _worker(model), "lang_pred string, score double", keep=[*keep, "_letters"])
-    threshold = model.threshold if model else 0.0
+    found = add_columns(marked, _worker(model), "lang_pred string, score double, _low boolean", keep=[*keep, "_letters"])
     return found.select(
         *[c for c in found.columns if c in keep and c not in ("lang_pred", "score", "rejected")],
         F.when(F.col("_letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"),
-    ).withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < threshold))
+        (~F.col("_letters") | F.col("_low")).alias("rejected"),
+    )
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from corpus_rows import SCHEMA, awkward_texts, frame
 from pyspark.sql import functions as F
 
@@ -48,3 +51,24 @@ def test_buckets_do_not_depend_on_strides_or_neighbours():
         language.STRIDE = before
     for (b, c), (d, e) in zip(alone, together):
         assert dict(zip(b.tolist(), c.tolist())) == dict(zip(d.tolist(), e.tolist()))
+
+
+def spoken(rng, syllables, n):
+    """``n`` texts of words made of ``syllables``."""
+    words = ["".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(400)]
+    return [" ".join(rng.choices(words, k=rng.randint(30, 80))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("languages", [1, 2, 3])
+def test_unlearned_languages_and_junk_are_rejected(languages):
+    rng = random.Random(languages)
+    syllables = ["ba ke li mo nu ta re si", "scht ach ung ein der tz pf lich", "qua eux oi ille tion ais eau ou"]
+    other = spoken(rng, "vy zha kro gdi pry wsz hov ejn".split(), 100)
+    junk = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(50)) for _ in range(100)]
+    corpus = [(f"l{i}", t) for i in range(languages) for t in spoken(rng, syllables[i].split(), 300)]
+    rng.shuffle(corpus)
+    counts = language.bucket_counts([t for _, t in corpus])
+    model = language.train([(name, *c) for (name, _), c in zip(corpus[:-100], counts)])
+    work = language._worker(model)()
+    clean, other, junk = (sum(work(texts)[2].to_pylist()) for texts in ([t for _, t in corpus[-100:]], other, junk))
+    assert clean <= 2 and other >= 98 and junk >= 98
