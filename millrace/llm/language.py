@@ -3,8 +3,9 @@
 A subword is two to four bytes of a word with its borders, A-Z in lower case, hashed into
 BUCKETS rows of an embedding table. A text is the mean of its subwords' rows; a linear layer
 and a softmax give the languages. Both layers are trained on the driver in numpy by stochastic
-gradient descent, on a bounded sample of labelled texts: at most ``sample`` texts, shared out
-evenly among the languages, each as its counts per bucket (so at most BUCKETS numbers a text,
+gradient descent, on a bounded sample of labelled texts: at most ``sample`` different texts, shared
+out evenly among the languages (among the most frequent ``sample`` ones, if there are more), each as
+its counts per bucket (so at most BUCKETS numbers a text,
 however long). A fifth of the sample calibrates: a temperature (1 or more, so confidence is never
 sharpened) that makes the softmax's confidence honest, and two bounds below either of which a text
 is rejected. One is on the confidence. The other is on how usual the text's subwords are: the mean
@@ -18,17 +19,18 @@ one for how usual the bucket is: every text, whole, is a sum of table rows.
 
 Defined cases: a text that is null or has no letter is `und` with score 0 and is rejected; with
 no labelled text at all every text is; one language alone gets score 1; rows with a null
-label are predicted and not learned from; repeated rows are predicted each.
+label are predicted and not learned from; repeated rows are predicted each and learned from once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import Worker, add_columns
@@ -221,13 +223,21 @@ def _lower_bound(values: np.ndarray) -> float:
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
     """Fit on ``text`` and ``lang`` of a sample of the rows, chosen by a hash of the text."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("hash", F.xxhash64("text", "lang"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("n"))
+    counts = {r["lang"]: max(1, r["n"]) for r in sizes.orderBy(F.desc("n"), "lang").limit(sample).collect()}
     if not counts:
         return None
-    each = max(10, sample // len(counts))
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, 0.8 * each / n)))
-    place = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / float(1 << 30)
+    each = sample // len(counts)
+    # So many more that a language of enough texts fills its places, whatever the hash picks.
+    wanted = each + 4 * math.sqrt(each) + 8
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, wanted / n)))
+    place = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
     picked = rows.withColumn("place", place).where(F.col("place") < share[F.col("lang")])
+    # Copies are merged in each task before they move; then each language is cut to its places.
+    picked = picked.groupBy("lang", "place", "hash").agg(F.first("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "hash"))
+    picked = picked.withColumn("rank", rank).where(F.col("rank") <= each)
 
     def start() -> Worker:
         def work(texts: list) -> list:
@@ -237,15 +247,9 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
 
         return work
 
-    features = add_columns(picked, start, "buckets binary, counts binary", keep=["lang", "place"])
-    found = sorted(features.collect(), key=lambda r: (r["place"], r["lang"]))
-    taken: dict[str, int] = {}
-    chosen = []
-    for r in found:
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= each:
-            chosen.append((r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)))
-    return train(chosen)
+    features = add_columns(picked, start, "buckets binary, counts binary", keep=["lang", "place", "hash"])
+    found = sorted(features.collect(), key=lambda r: (r["place"], r["lang"], r["hash"]))
+    return train([(r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in found])
 
 
 def _worker(model: LanguageModel | None) -> Callable[[], Worker]:

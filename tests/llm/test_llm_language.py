@@ -72,3 +72,17 @@ def test_unlearned_languages_and_junk_are_rejected(languages):
     work = language._worker(model)()
     clean, other, junk = (sum(work(texts)[2].to_pylist()) for texts in ([t for _, t in corpus[-100:]], other, junk))
     assert clean <= 2 and other >= 98 and junk >= 98
+
+
+def test_sample_is_bounded_with_copies_and_many_labels(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language, "train", taken.append)
+    copies = [("the same text in very many rows", "en")] * 500
+    texts = [(f"text {chr(97 + i // 26)}{chr(97 + i % 26)} alone", "en") for i in range(40)]
+    language.learn(spark.createDataFrame(copies + texts, "text string, lang string").repartition(4), 41)
+    assert len(taken[-1]) == 41
+    assert len({(b.tobytes(), c.tobytes()) for _, b, c in taken[-1]}) == 41
+    many = [(f"text {chr(97 + j)}", f"l{i}") for i in range(50) for j in range(3)]
+    for sample, labels in ((60, 50), (30, 30)):
+        language.learn(spark.createDataFrame(many, "text string, lang string"), sample)
+        assert len(taken[-1]) <= sample and len({label for label, _, _ in taken[-1]}) == labels
