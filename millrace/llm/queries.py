@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import decontaminate, language, language_model, lines, near_text, secrets, sentencepieces, shards, token_counts, vectors
+from millrace.llm import (
+    decontaminate,
+    infill,
+    language,
+    language_model,
+    lines,
+    near_text,
+    packing,
+    secrets,
+    sentencepieces,
+    shards,
+    token_counts,
+    vectors,
+    whitening,
+)
 from millrace.llm.tables import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +43,10 @@ def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(prepare(spark), sf_dir, "embeddings"))
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(prepare(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": over_documents(language.digest),
     "op2_token_counts": over_documents(token_counts.digest),
@@ -40,6 +58,9 @@ QUERIES: dict[str, Query] = {
     "op8_shards": over_documents(shards.digest),
     "op9_minhash_dedup": over_documents(near_text.digest),
     "op10_decontamination": decontamination,
+    "op11_fill_in_middle": over_documents(infill.digest),
+    "op12_packing": over_documents(packing.digest),
+    "op13_embedding_whitening": embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -49,4 +70,5 @@ ORACLES: dict[str, str] = {
     "op6_embedding_dedup": vectors.ORACLE,
     "op9_minhash_dedup": near_text.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
+    "op11_fill_in_middle": infill.ORACLE,
 }
