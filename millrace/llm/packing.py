@@ -13,8 +13,8 @@ are cut into pieces of a whole sequence at most; when nothing more fits and at l
 with the rest. What a sequence leaves free is so below `least_gap`, but in each group's last
 one. All ids but the first of a piece bear loss.
 
-Ids are the tokenizer's for the whole text: no token goes over white space, and so words
-between ASCII white space are encoded one by one and remembered, up to MEMO_WORDS a task.
+Ids are the tokenizer's for the whole text. Under its rules no token goes over white space, so
+the words between ASCII white space are encoded one by one and remembered, near MEMO_WORDS a task.
 Pieces with their ids are written to the shared folder once, and found again by row number.
 
 Defined cases: a null or empty text is its end id alone; texts of any length are encoded whole;
@@ -25,7 +25,11 @@ columns pass through there, and those named like a result give way to it.
 
 from __future__ import annotations
 
+import json
 import math
+import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -47,8 +51,25 @@ END_ID = 1
 GROUP_ROWS = 8192
 #: A gap of fewer tokens is left as padding.
 LEAST_GAP = 16
-MEMO_WORDS = 300_000
+MEMO_WORDS = 600_000
 MEMO_BYTES = 64
+#: Rules under which no token goes over white space: it is dropped, and nothing looks past it.
+KNOWN = [
+    {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    [
+        {"type": "Split", "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+]
+#: Latin letters beyond ASCII that no other character joins up with unless it is a combining one.
+LATIN = range(0xC0, 0x250)
 #: Text bytes a worker holds at once.
 CHUNK_BYTES = 2 * 1024 * 1024
 
@@ -140,26 +161,84 @@ def pack_examples(examples: DataFrame, tokens: str, loss: str, limits: Limits =
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers."""
+    """Ids of texts as little-endian unsigned 32-bit numbers; those of `tokenizer` for the whole text.
+
+    Where the file's rules are known to treat the words between white space apart (see KNOWN),
+    words are remembered. Those of ASCII and common Latin letters are also lowered and split here,
+    by the file's own pattern, and only their pieces go to the model. Any other word, and one that
+    may hold a special token, goes to the tokenizer as it is; so does a whole text under other rules.
+    """
 
     def __init__(self, tokenizer: str) -> None:
         self._tokenizer = Tokenizer.from_str(tokenizer)
-        self._known: dict[bytes, bytes] = {}
+        self._model = self._tokenizer.model
+        self._words: dict[bytes, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
+        rules = json.loads(tokenizer)
+        self._apart = [rules["normalizer"], _without_pattern(rules["pre_tokenizer"])] == KNOWN
+        if not self._apart:
+            return
+        # Letters whose normal form is one letter, whatever stands beside them; the tokenizer says so itself.
+        normal = {c: self._tokenizer.normalizer.normalize_str(c) for c in map(chr, LATIN)}
+        split = self._tokenizer.pre_tokenizer.pre_tokenize_str
+        normal = {c: n for c, n in normal.items() if len(n) == 1 and len(split(f"a{n}a")) == 1}
+        letters = "a-z" + "".join(sorted(set(normal.values())))
+        pattern = rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        own = pattern.replace(r"\p{L}", letters).replace(r"\p{N}", "0-9").replace(r"\s", "")
+        self._split = re.compile(own).findall
+        self._odd = re.compile(f"[^!-~{''.join(normal)}]|<\\|").search
+        self._lower = str.maketrans(normal | {chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
+        # Bytes as characters that can be seen, in the usual order of byte-level vocabularies.
+        seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in seen]
+        self._visible = {b: 256 + i for i, b in enumerate(hidden)}
+
+    def _ids(self, text: bytes) -> bytes:
+        made = self._tokenizer.encode(text.decode(errors="replace"), add_special_tokens=False)
+        return _little_endian(made.ids)
+
+    def _piece(self, piece: str) -> bytes:
+        # Letters, digits and signs of ASCII stand for themselves.
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._visible)
+        made = _little_endian([t.id for t in self._model.tokenize(letters)])
+        if len(piece) <= MEMO_BYTES:
+            self._pieces[piece] = made
+        return made
 
     def _word(self, word: bytes) -> bytes:
-        ids = self._tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False).ids
-        made = np.array(ids, "<u4").tobytes()
+        text = word.decode(errors="replace")
+        if self._odd(text):
+            made = self._ids(word)
+        else:
+            known = self._pieces.get
+            text = text.lower() if text.isascii() else text.translate(self._lower)
+            made = b"".join([known(p) or self._piece(p) for p in self._split(text)])
         if len(word) <= MEMO_BYTES:
-            if len(self._known) >= MEMO_WORDS:
-                self._known.clear()
-            self._known[word] = made
+            self._words[word] = made
         return made
 
     def __call__(self, text: bytes) -> bytes:
-        known, word = self._known.get, self._word
+        if not self._apart:
+            return self._ids(text)
+        if len(self._words) > MEMO_WORDS:
+            self._words.clear()
+        if len(self._pieces) > MEMO_WORDS:
+            self._pieces.clear()
+        known, word = self._words.get, self._word
         return b"".join([known(w) or word(w) for w in text.split()])
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
+def _without_pattern(pre_tokenizer: dict | None) -> list:
+    return [{k: v for k, v in p.items() if k != "pattern"} for p in (pre_tokenizer or {}).get("pretokenizers", [])]
+
+
 CHUNK = "row long, doc_id long, start long, n long, doc_tokens long, ids binary"
 
 
