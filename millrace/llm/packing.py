@@ -287,7 +287,7 @@ def pack_documents(
 ) -> DataFrame:
     """doc_id, start, length, ids (binary), doc_tokens, sequence_id and offset of every piece."""
     size = min(limits.tokens, limits.loss_tokens + 1)
-    held = kept(encoded_chunks(docs, size, tokenizer, end_id), "ids")
+    held = kept(encoded_chunks(docs, size, tokenizer, end_id), "ids", "zstd")
     items = held.select("row", F.col("n").alias("tokens"), (F.col("n") - 1).alias("loss"))
     placed = place(items, limits, least_gap, group_rows)
     return held.join(placed, "row").select(

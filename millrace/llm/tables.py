@@ -27,14 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Later steps start from files that every executor can reach, so an executor that
     is lost costs only its own tasks, and a costly step runs once.
     """
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
