@@ -14,15 +14,16 @@ def total(column: str, scale: int = 2) -> str:
     Values that no decimal holds (NaN, infinity, 22 digits and more) are left out, here
     and in ``mean``, and never fail the job; the checks of a domain report them.
     """
-    return f"cast(try_sum({_decimal(column, scale)}) as double)"
+    return f"cast(try_sum({decimal(column, scale)}) as double)"
 
 
 def mean(column: str, scale: int = 2) -> str:
     """Exact sum over the number of values in it; null for no values."""
-    return ratio(total(column, scale), f"count({_decimal(column, scale)})")
+    return ratio(total(column, scale), f"count({decimal(column, scale)})")
 
 
-def _decimal(column: str, scale: int) -> str:
+def decimal(column: str, scale: int) -> str:
+    """``column`` as what sums add up; null where no decimal holds it."""
     return f"try_cast({column} as decimal(28,{scale}))"
 
 

@@ -43,6 +43,38 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]
     return df.join(dimension.select(key, *columns), on=key, how="left")
 
 
+SALT = "__salt"
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 1 / 64) -> list:
+    """Keys that hold at least ``share`` of the rows: no more than 1 / share of them."""
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    rows = counted.agg(F.sum("__rows")).first()[0] or 0
+    found = counted.filter(F.col(key).isNotNull() & (F.col("__rows") >= F.lit(share * rows)))
+    return [r[key] for r in found.select(key).collect()]
+
+
+def lookup_hot(
+    df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str], hot: Sequence, salts: int = 64
+) -> DataFrame:
+    """As `lookup`, with what is known of the keys in the plan rather than left to run time.
+
+    Rows without a key match nothing and go round the join. Rows of ``hot`` keys (see `hot_keys`)
+    are dealt to ``salts`` partitions by the task they come from, which is the same when a task
+    runs again; the few dimension rows of those keys are repeated for each salt.
+    """
+    salted = F.when(F.col(key).isin(list(hot)), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
+    repeated = F.when(F.col(key).isin(list(hot)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    if not hot:
+        salted, repeated = F.lit(0), F.array(F.lit(0))
+    right = dimension.select(key, *columns).filter(F.col(key).isNotNull()).withColumn(SALT, F.explode(repeated))
+    left = df.filter(F.col(key).isNotNull()).withColumn(SALT, salted)
+    joined = left.join(right, on=[key, SALT], how="left").drop(SALT)
+    types = dict(dimension.dtypes)
+    without = df.filter(F.col(key).isNull()).select("*", *(F.lit(None).cast(types[c]).alias(c) for c in columns))
+    return joined.unionByName(without)
+
+
 def orphans(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Fact rows whose key the dimension does not have."""
     return df.join(dimension.select(key), on=key, how="left_anti")

@@ -2,40 +2,41 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.functions import mergeable
 from millrace.functions.columns import bucket, flag
 from millrace.functions.measures import mean, percent, ratio, rounded, total
 from millrace.operators.audit import rule_counts
 from millrace.operators.checks import check_rules, check_unique, gate, null_rules
-from millrace.operators.clean import (
-    COPIES,
-    collapse,
-    keep_one,
-    mark_surplus,
-    require,
-    set_aside,
-    step_counts,
-    to_int,
-)
+from millrace.operators.clean import COPIES, keep_one, require, step_counts, to_int
 from millrace.operators.dims import lookup, orphan_counts, require_unique
+from millrace.operators.judge import all_rows, kept_rows, one_each, rejected_rows, write_judged
 from millrace.operators.reports import Report
 from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
-from millrace.plans.runlog import StageClock, run_log
+from millrace.plans.runlog import ALTERED, StageClock, logged_failure, reload_log, run_log
+from millrace.plans.survivors import Fact, fold, merge_summaries, range_of_keys, write_states, write_survivors
+from millrace.session import fresh_dir
+from millrace.sources import versions
 from millrace.sources.readers import read_parquet
 from millrace.sources.schemas import CORRUPT_RECORD, RAW_ORDERS
+from millrace.sources.versions import Draft
 from millrace.sources.writers import (
     append_json,
     verify_partitions,
     verify_tables,
     write_partitioned,
-    write_table,
     write_tables,
 )
 
 FACT = "fact_orders"
+REJECTED_TABLE = "rejected_orders"
+RELOAD = "orders_reload"
 KEY = "order_id"
 # Which of several rows with one order_id stays: the least in this order.
 KEEP_ORDER = (
@@ -62,8 +63,10 @@ READABLE = Rule("cell_unreadable", f"{CORRUPT_RECORD} is null")
 HAS_ID = Rule("order_id_missing", "order_id is not null")
 HAS_PRICE = Rule("unit_price_not_positive", "unit_price > 0 and unit_price < double('Infinity')")
 HAS_QUANTITY = Rule("quantity_not_positive", "quantity > 0")
-HAS_CUSTOMER = Rule("customer_id_missing", "customer_id is not null")
+# On the raw column and on the cast one alike.
+HAS_CUSTOMER = Rule("customer_id_missing", "try_cast(customer_id as int) is not null")
 NOT_SURPLUS = Rule("order_id_repeated", "not is_surplus")
+RULES = (HAS_ID, NOT_SURPLUS, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER)
 
 AUDITED = (
     Rule("negative_price", "unit_price < 0"),
@@ -73,6 +76,7 @@ AUDITED = (
 NEGATIVE_REVENUE = Rule("negative_revenue", "net_revenue < 0")
 # Sums leave such values out, so they must not pass unseen.
 ODD_REVENUE = Rule("non_finite_revenue", "isnan(net_revenue) or abs(net_revenue) = double('Infinity')")
+ODD_PROFIT = Rule("non_finite_profit", "isnan(total_profit) or abs(total_profit) = double('Infinity')")
 
 COMPLETED = "status = 'Completed'"
 
@@ -80,12 +84,12 @@ DAILY = Summary(
     keys={"date": "to_date(order_date)"},
     where=COMPLETED,
     measures={
-        "total_orders": "count(order_id)",
-        "total_revenue": total("net_revenue"),
-        "total_profit": total("total_profit"),
-        "avg_order_value": mean("net_revenue"),
-        "unique_customers": "count(distinct customer_id)",
-        "weekend_orders": "count_if(is_weekend)",
+        "total_orders": mergeable.count("order_id"),
+        "total_revenue": mergeable.total("net_revenue"),
+        "total_profit": mergeable.total("total_profit"),
+        "avg_order_value": mergeable.mean("net_revenue"),
+        "unique_customers": mergeable.distinct("customer_id"),
+        "weekend_orders": mergeable.count_if("is_weekend"),
     },
 )
 
@@ -94,11 +98,11 @@ CATEGORY_MONTH = Summary(
     keys={"category": "category", "order_month": "order_month"},
     where=COMPLETED,
     measures={
-        "orders": "count(order_id)",
-        "revenue": total("net_revenue"),
-        "profit": total("total_profit"),
-        "avg_margin": mean("profit_margin_pct", 1),
-        "unique_customers": "count(distinct customer_id)",
+        "orders": mergeable.count("order_id"),
+        "revenue": mergeable.total("net_revenue"),
+        "profit": mergeable.total("total_profit"),
+        "avg_margin": mergeable.mean("profit_margin_pct", 1),
+        "unique_customers": mergeable.distinct("customer_id"),
     },
 )
 
@@ -166,26 +170,51 @@ def clean(raw: DataFrame) -> DataFrame:
     comes deduplication, so an invalid row that is kept for its key takes its valid
     twins with it.
     """
-    one_each = keep_one(readable(raw), [KEY], KEEP_ORDER)
-    valid = require(one_each, [HAS_ID, HAS_PRICE, HAS_QUANTITY])
-    return require(to_int(valid, "customer_id"), [HAS_CUSTOMER])
+    return valid(keep_one(readable(raw), [KEY], KEEP_ORDER))
+
+
+def valid(rows: DataFrame) -> DataFrame:
+    """Rows with an id, a price, a quantity and a customer; the customer as a whole number."""
+    priced = require(rows, [HAS_ID, HAS_PRICE, HAS_QUANTITY])
+    return require(to_int(priced, "customer_id"), [HAS_CUSTOMER])
+
+
+def judge(raw: DataFrame) -> DataFrame:
+    """Every raw row with what cleaning makes of it, written to the scratch folder; see `judge`."""
+    spark = raw.sparkSession
+    return write_judged(
+        raw,
+        RULES,
+        fresh_dir(spark, "judged-orders"),
+        keys=[KEY],
+        order_by=KEEP_ORDER,
+        readable=READABLE if CORRUPT_RECORD in raw.columns else None,
+        scratch=fresh_dir(spark, "repeated-orders"),
+    )
 
 
-def rejected(raw: DataFrame) -> DataFrame:
+def cleaned_of(judged: DataFrame) -> DataFrame:
+    """What ``clean`` gives, from judged rows."""
+    rows = to_int(kept_rows(judged), "customer_id")
+    return rows.drop(CORRUPT_RECORD)
+
+
+def rejected_of(judged: DataFrame) -> DataFrame:
     """Every raw row that ``clean`` drops, with the reason. Types as in ``clean``."""
-    marked = to_int(mark_surplus(readable(raw), [KEY], KEEP_ORDER), "customer_id")
-    rules = [HAS_ID, NOT_SURPLUS, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER]
-    judged = set_aside(marked, rules).drop("is_surplus")
-    if CORRUPT_RECORD not in raw.columns:
-        return judged
-    unreadable = set_aside(to_int(raw, "customer_id"), [READABLE])
-    return unreadable.unionByName(judged, allowMissingColumns=True)
+    return to_int(rejected_rows(judged), "customer_id")
+
+
+def rejected(raw: DataFrame) -> DataFrame:
+    return rejected_of(judge(raw))
+
+
+def steps_of(judged: DataFrame) -> DataFrame:
+    """Row counts through the steps of ``clean``, from judged rows."""
+    return step_counts(one_each(judged), [HAS_ID, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER], COPIES)
 
 
 def clean_steps(raw: DataFrame) -> DataFrame:
-    """Row counts through the steps of ``clean``."""
-    one_each = to_int(collapse(readable(raw), [KEY], KEEP_ORDER), "customer_id")
-    return step_counts(one_each, [HAS_ID, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER], COPIES)
+    return steps_of(judge(raw))
 
 
 def add_revenue(df: DataFrame) -> DataFrame:
@@ -272,14 +301,32 @@ def orphan_report(fact_rows: DataFrame, products: DataFrame, customers: DataFram
 
 def checks(fact_rows: DataFrame) -> DataFrame:
     """All checks on the fact table, each of which counts for the verdict."""
-    return check_rules(fact_rows, [*null_rules(REQUIRED_OUTPUT), NEGATIVE_REVENUE, ODD_REVENUE]).unionByName(
+    return check_rules(fact_rows, [*null_rules(REQUIRED_OUTPUT), NEGATIVE_REVENUE, ODD_REVENUE, ODD_PROFIT]).unionByName(
         check_unique(fact_rows, KEY, "duplicate_orders")
     )
 
 
-def table_paths(root: str) -> dict[str, str]:
-    names = (FACT, "dim_products", "dim_customers", *SUMMARIES)
-    return {name: f"{root}/{name}" for name in names}
+def fact_table(products: DataFrame, customers: DataFrame) -> Fact:
+    """What a reload of the fact goes by."""
+    return Fact(
+        table=FACT,
+        key=KEY,
+        order_by=KEEP_ORDER,
+        by=PARTITIONED_BY,
+        placed=lambda rows: add_calendar(valid(rows)),
+        build=lambda rows: build_fact(valid(rows), products, customers),
+        summaries=SUMMARIES,
+    )
+
+
+TABLES = (FACT, "dim_products", "dim_customers", *SUMMARIES)
+
+
+def tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the star schema that are live below ``root``."""
+    manifest = versions.live(spark, root)
+    schemas = {FACT: T.StructType.fromJson(manifest.facts["fact_schema"])} if manifest else {}
+    return {name: versions.read(spark, root, name, schemas.get(name), manifest) for name in TABLES}
 
 
 def run(
@@ -289,60 +336,136 @@ def run(
     customers: DataFrame,
     root: str,
     quarantine: bool = False,
+    reloadable: bool = False,
+    publish_failed: bool = False,
 ) -> DataFrame:
     """Load the star schema below ``root`` and return the run's log, one row.
 
-    The fact is computed once, on its way to disk. Summaries, checks and counts
-    read the written table, so they also prove that it is readable. The counts in
-    the log are aggregates over tables, not metrics observed during the write:
-    those count rows twice when a lost executor's tasks run again.
+    Raw rows are judged in one pass, and everything else reads what that wrote. The fact is
+    computed once, on its way to disk. Summaries, checks and counts read the written tables, so
+    they also prove that these are readable, and compare them with what went out. Only then
+    does the new version become visible, unless a check fails and ``publish_failed`` is not set:
+    the tables before it stay live then, as they do when the run dies anywhere.
+
+    ``reloadable`` also keeps survivors and states of the summaries, for `reload`. The counts in
+    the log are aggregates over tables.
     """
     clock = StageClock()
-    dimension_rows = {
-        "products_raw": require_unique(products, "product_id"),
-        "customers_raw": require_unique(customers, "customer_id"),
-    }
-    clock.end("extract")
-    paths = table_paths(root)
-    loaded = write_fact(raw, products, customers, paths[FACT])
-    clock.end("transform")
-    others = {name: summarise(loaded, spec) for name, spec in SUMMARIES.items()}
-    others |= {"dim_products": products, "dim_customers": customers}
-    write_tables({paths[name]: df for name, df in others.items()})
-    if quarantine:
-        write_table(rejected(raw), f"{root}/rejected_orders")
-    clock.end("load")
-
-    tables = {name: read_parquet(spark, path) for name, path in paths.items() if name != FACT}
-    tables[FACT] = loaded
-
-    # A few rows each: the only data that comes to the driver.
-    audit = {r["rule"]: r["matches"] for r in rule_counts(raw, [ALL_ROWS, *AUDITED]).collect()}
-    raw_rows = audit.pop(ALL_ROWS.name)
-    written = {r["table"]: r for r in verify_tables(tables).collect()}
-    partitions = verify_partitions(loaded, PARTITIONED_BY).first()
-    failures = {r["check"]: r["failures"] for r in checks(loaded).collect()}
-    steps = clean_steps(raw).collect()
-    clock.end("checks")
-    log = run_log(
-        spark,
-        name="orders",
-        failures=failures,
-        extract={"orders_raw": raw_rows, **dimension_rows},
-        issues=audit,
-        steps=steps,
-        last_cleaning_step=HAS_CUSTOMER.name,
-        rows_final=written[FACT]["rows"],
-        columns_before=len(RAW_ORDERS),
-        clock=clock,
-        fact_path=paths[FACT],
-        summaries=list(SUMMARIES),
-        final_columns=written[FACT]["columns"],
-        loaded={f"{table}_rows": r["rows"] for table, r in written.items()},
-        partition_columns=PARTITIONED_BY,
-        partitions=partitions["partitions"],
-        root=root,
-    )
+    with logged_failure(spark, "orders", clock, root):
+        draft = Draft(spark, root)
+        sources = {"orders_raw": raw, "products_raw": products, "customers_raw": customers}
+        dimension_rows = {
+            "products_raw": require_unique(products, "product_id"),
+            "customers_raw": require_unique(customers, "customer_id"),
+        }
+        clock.end("extract")
+        judged = judge(raw)
+        built = build_fact(cleaned_of(judged), products, customers)
+        written = {FACT: write_partitioned(built, draft.path(FACT), PARTITIONED_BY)}
+        loaded = versions.read_folders(spark, root, FACT, [draft.folder(FACT)], built.schema)
+        clock.end("transform")
+
+        spec = fact_table(products, customers)
+        others = {"dim_products": products, "dim_customers": customers}
+        if quarantine:
+            others[REJECTED_TABLE] = rejected_of(judged)
+        kept = {"fact_schema": json.loads(built.schema.json())}
+        folders = {name: [draft.folder(name)] for name in (*TABLES, *others)}
+        if reloadable:
+            once = one_each(judged.filter(HAS_ID.column())).drop(CORRUPT_RECORD)
+            kept["survivor_width"] = range_of_keys(once, KEY)
+            write_survivors(once, spec, draft.path(spec.survivors), kept["survivor_width"])
+            schemas = write_states(loaded, spec, draft)
+            folders |= {name: [draft.folder(name)] for name in (spec.survivors, *schemas)}
+            others |= merge_summaries(spark, root, spec, folders, schemas)
+        else:
+            others |= {name: summarise(loaded, summary) for name, summary in SUMMARIES.items()}
+        went_out = write_tables({draft.path(name): df for name, df in others.items()})
+        written |= {name: went_out[draft.path(name)] for name in others}
+        clock.end("load")
+
+        back = {name: versions.read_folders(spark, root, name, folders[name]) for name in others}
+        back[FACT] = loaded
+        # A few rows each: the only data that comes to the driver.
+        audit = {r["rule"]: r["matches"] for r in rule_counts(all_rows(judged), [ALL_ROWS, *AUDITED]).collect()}
+        raw_rows = audit.pop(ALL_ROWS.name)
+        found = {r["table"]: r for r in verify_tables(back, written).collect()}
+        partitions = verify_partitions(loaded, PARTITIONED_BY).first()
+        failures = {r["check"]: r["failures"] for r in checks(loaded).collect()}
+        failures[ALTERED] = sum(not r["intact"] for r in found.values())
+        clock.end("checks")
+        passed = not any(failures.values())
+        publish = passed or publish_failed
+        log = run_log(
+            spark,
+            name="orders",
+            failures=failures,
+            sources=sources,
+            extract={"orders_raw": raw_rows, **dimension_rows},
+            issues=audit,
+            steps=steps_of(judged).collect(),
+            last_cleaning_step=HAS_CUSTOMER.name,
+            rows_final=found[FACT]["rows"],
+            columns_before=len(RAW_ORDERS),
+            clock=clock,
+            fact_path=draft.path(FACT),
+            summaries=list(SUMMARIES),
+            final_columns=found[FACT]["columns"],
+            loaded={f"{name}_rows": found[name]["rows"] for name in TABLES},
+            partition_columns=PARTITIONED_BY,
+            partitions=partitions["partitions"],
+            root=root,
+            version=draft.number,
+            published=publish,
+        )
+        if publish:
+            draft.publish(folders, written=written, **kept)
+    append_json(log, f"{root}/run_log")
+    return log
+
+
+def reload(
+    spark: SparkSession,
+    batch: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    root: str,
+    publish_failed: bool = False,
+) -> DataFrame:
+    """Fold new raw rows into what a ``reloadable`` run or a reload left; returns the log.
+
+    Fact, summaries and survivors become what a full load of all raw rows gives, with two
+    limits: rows that are not touched keep what the dimensions held when they were built, and
+    the table of rejected rows stays that of the last full run. Only partitions that change are
+    checked. Run again after a failure; a batch that was taken in before changes nothing.
+    """
+    clock = StageClock()
+    with logged_failure(spark, RELOAD, clock, root):
+        draft = Draft(spark, root)
+        live = draft.before
+        if live is None or "survivor_width" not in live.facts:
+            raise versions.NothingPublished(f"no version with survivors at {root}")
+        spec = fact_table(products, customers)
+        rows = readable(batch).select(*RAW_ORDERS.fieldNames())
+        made = fold(spark, root, live, rows, spec, draft, lambda name: fresh_dir(spark, name))
+        clock.end("load")
+        failures = {r["check"]: r["failures"] for r in checks(made.rows).collect()} if made.partitions else {}
+        clock.end("checks")
+        publish = publish_failed or not any(failures.values())
+        log = reload_log(
+            spark,
+            name=RELOAD,
+            failures=failures,
+            sources={"batch": batch},
+            loaded={"changed_keys": made.keys, "partitions_rewritten": made.partitions},
+            clock=clock,
+            root=root,
+            version=draft.number,
+            published=publish,
+        )
+        if publish:
+            same = {k: v for k, v in live.facts["written"].items() if list(live.tables[k]) == made.tables[k]}
+            draft.publish(made.tables, **{**live.facts, "written": same})
     append_json(log, f"{root}/run_log")
     return log
 

@@ -1,4 +1,7 @@
-"""Incremental reload: fold a batch of new raw rows into a loaded fact table."""
+"""Reload in place: fold a batch of raw rows into a bare fact table, with the raw history at hand.
+
+For a table that is loaded with survivors kept, `millrace.plans.survivors` needs no history.
+"""
 
 from __future__ import annotations
 
@@ -38,7 +41,7 @@ def reload_partitions(
     same batch: the stale rows have keys of the batch, so their partitions are found
     and deleted then.
     """
-    staging = f"{path.rstrip('/').rpartition('/')[0]}/_staging-{uuid.uuid4().hex}"
+    staging = f"{storage.parent(spark, path)}/_staging-{uuid.uuid4().hex}"
     try:
         return _reload(spark, path, staging, history, batch, build, key, list(by))
     finally:

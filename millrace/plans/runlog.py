@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.writers import append_json
+
+#: The check that every table read back has the rows that went out.
+ALTERED = "tables_altered"
+
 _COUNTS = T.MapType(T.StringType(), T.LongType())
 
 _STEP = T.StructType(
@@ -23,6 +30,13 @@ _STEP = T.StructType(
     ]
 )
 
+_SOURCE = T.StructType(
+    [
+        T.StructField("source_format", T.StringType()),
+        T.StructField("source_files", T.ArrayType(T.StringType())),
+    ]
+)
+
 SCHEMA = T.StructType(
     [
         T.StructField("pipeline_name", T.StringType()),
@@ -30,7 +44,10 @@ SCHEMA = T.StructType(
         T.StructField("ended_at", T.StringType()),
         T.StructField("stages_ended_at", T.MapType(T.StringType(), T.StringType())),
         T.StructField("status", T.StringType()),
+        T.StructField("error", T.StringType()),
         T.StructField("extract", _COUNTS),
+        T.StructField("extract_columns", _COUNTS),
+        T.StructField("sources", T.MapType(T.StringType(), _SOURCE)),
         T.StructField(
             "transform",
             T.StructType(
@@ -58,6 +75,8 @@ SCHEMA = T.StructType(
                     T.StructField("partition_columns", T.ArrayType(T.StringType())),
                     T.StructField("partitions", T.LongType()),
                     T.StructField("root", T.StringType()),
+                    T.StructField("version", T.LongType()),
+                    T.StructField("published", T.BooleanType()),
                 ]
             ),
         ),
@@ -89,11 +108,75 @@ class StageClock:
         self.ended[stage] = now()
 
 
+def source_of(df: DataFrame) -> dict:
+    """Format and names of the files a frame is read from, as the driver has listed them."""
+    files = sorted(unquote(f.rsplit("/", 1)[-1]) for f in df.inputFiles())
+    kinds = {f.split(".")[-1] if "." in f else "" for f in files}
+    return {"source_format": ", ".join(sorted(k for k in kinds if k)) or None, "source_files": files}
+
+
+def _extracted(sources: Mapping[str, DataFrame]) -> dict:
+    return {
+        "extract_columns": {name: len(df.columns) for name, df in sources.items()},
+        "sources": {name: source_of(df) for name, df in sources.items()},
+    }
+
+
+def _one_row(spark: SparkSession, row: dict) -> DataFrame:
+    return spark.createDataFrame([row], SCHEMA).coalesce(1)
+
+
+@contextmanager
+def logged_failure(spark: SparkSession, name: str, clock: StageClock, root: str) -> Iterator[None]:
+    """Record a run that raises, as FAILED and with the error, and let it raise."""
+    try:
+        yield
+    except Exception as error:
+        row = {
+            "pipeline_name": name,
+            "run_timestamp": clock.started,
+            "ended_at": now(),
+            "stages_ended_at": dict(clock.ended),
+            "status": "FAILED",
+            "error": f"{type(error).__name__}: {error}"[:2000],
+        }
+        append_json(_one_row(spark, row), f"{root}/run_log")
+        raise
+
+
+def reload_log(
+    spark: SparkSession,
+    *,
+    name: str,
+    failures: Mapping[str, int],
+    sources: Mapping[str, DataFrame],
+    loaded: Mapping[str, int],
+    clock: StageClock,
+    root: str,
+    version: int,
+    published: bool,
+) -> DataFrame:
+    """A log without the steps of cleaning: what a reload changed."""
+    passed = not any(failures.values())
+    row = {
+        "pipeline_name": name,
+        "run_timestamp": clock.started,
+        "ended_at": now(),
+        "stages_ended_at": dict(clock.ended),
+        "status": "SUCCESS" if passed else "FAILED",
+        **_extracted(sources),
+        "load": {"rows": dict(loaded), "root": root, "version": version, "published": published},
+        "quality_checks": {"failures": dict(failures), "all_passed": passed},
+    }
+    return _one_row(spark, row)
+
+
 def run_log(
     spark: SparkSession,
     *,
     name: str,
     failures: Mapping[str, int],
+    sources: Mapping[str, DataFrame],
     extract: Mapping[str, int],
     issues: Mapping[str, int],
     steps: Sequence[Row],
@@ -108,6 +191,8 @@ def run_log(
     partition_columns: Sequence[str],
     partitions: int,
     root: str,
+    version: int,
+    published: bool,
 ) -> DataFrame:
     """Status and numbers come from the run; no check is taken as passed unseen.
 
@@ -125,6 +210,7 @@ def run_log(
         "stages_ended_at": dict(clock.ended),
         "status": "SUCCESS" if passed else "FAILED",
         "extract": dict(extract),
+        **_extracted(sources),
         "transform": {
             "rows_before_cleaning": rows_before,
             "rows_after_cleaning": by_name[last_cleaning_step]["rows_after"],
@@ -144,10 +230,12 @@ def run_log(
             "partition_columns": list(partition_columns),
             "partitions": partitions,
             "root": root,
+            "version": version,
+            "published": published,
         },
         "quality_checks": {"failures": dict(failures), "all_passed": passed},
     }
-    return spark.createDataFrame([row], SCHEMA).coalesce(1)
+    return _one_row(spark, row)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -162,6 +250,7 @@ def log_entries(log: DataFrame) -> DataFrame:
     )
     sections = {
         "extract": F.col("extract"),
+        "extract_columns": F.col("extract_columns"),
         "transform": transform,
         "issues": F.col("transform.quality_issues_found"),
         "load": F.col("load.rows"),

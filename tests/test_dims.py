@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from millrace.operators.clean import keep_one
 from millrace.operators.dims import (
     DuplicateKeyError,
+    hot_keys,
     lookup,
+    lookup_hot,
     orphan_counts,
     orphans,
     require_unique,
@@ -111,3 +113,30 @@ def test_the_fact_is_spread_once_after_the_joins(spark, sf_dir, conf, tmp_path):
     one, two = (spark.read.parquet(str(tmp_path / p)) for p in ("broadcast", "shuffled"))
     assert one.columns == two.columns
     assert rows(one) == rows(two)
+
+
+def test_hot_keys_are_those_with_a_share(spark):
+    df = spark.range(1000).selectExpr("case when id % 2 = 0 then 7 when id % 5 = 0 then null else id end as k")
+    assert hot_keys(df, "k", share=0.1) == [7]
+    assert hot_keys(df.limit(0), "k") == []
+
+
+def test_hot_and_null_keys_without_help_at_run_time(spark, conf):
+    """AQE's skew join is off, a third of the rows share a key and a third have none."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="32",
+    )
+    n = 30_000
+    df = spark.range(n, numPartitions=16).selectExpr("case id % 3 when 0 then 5 when 1 then null else id end as k", "id as v")
+    dim = spark.range(n).selectExpr("id as k", "concat('n', id) as name", "1 as other")
+    hot = hot_keys(df, "k", share=1 / 64)
+    assert hot == [5]
+    salted, plain = lookup_hot(df, dim, "k", ["name"], hot, salts=32), lookup(df, dim, "k", ["name"])
+    assert rows(salted.select("k", "v", "name")) == rows(plain.select("k", "v", "name"))
+    most = lambda d: d.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most(plain) > n / 3
+    assert most(salted) < n / 8
+    assert plan(salted).startswith("Union")  # rows without a key go round the join
+    assert rows(lookup_hot(df, dim, "k", ["name"], []).select("k", "v", "name")) == rows(plain.select("k", "v", "name"))

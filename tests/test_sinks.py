@@ -10,7 +10,7 @@ from millrace.operators.reuse import reused
 from millrace.plans import orders, trips
 from millrace.plans.reload import reload_partitions
 from millrace.plans.runlog import read_log
-from millrace.sources import writers
+from millrace.sources import versions, writers
 from verification import stand_ins
 
 
@@ -100,8 +100,8 @@ def test_orders_run_end_to_end(spark, tmp_path):
     assert log["transform"]["removal_rate_pct"] == 50.0
     assert log["load"]["rows"]["fact_orders_rows"] == 2
     assert log["load"]["partition_columns"] == ["order_year", "order_month"]
-    assert spark.read.parquet(f"{root}/rejected_orders").count() == 2
-    daily = spark.read.parquet(f"{root}/agg_daily_summary").collect()
+    assert versions.read(spark, root, "rejected_orders").count() == 2
+    daily = orders.tables(spark, root)["agg_daily_summary"].collect()
     # 2 x 10.00 less 10 %, twice, by one customer on a Sunday.
     assert [(r["total_orders"], r["total_revenue"], r["unique_customers"], r["weekend_orders"])
             for r in daily] == [(2, 36.0, 1, 2)]
@@ -125,14 +125,17 @@ def test_amounts_that_no_sum_can_hold_are_left_out_or_reported(spark, tmp_path):
     )
     root = str(tmp_path / "star")
     assert orders.run(spark, raw, *dims(spark), root).first()["status"] == "SUCCESS"
-    fact = spark.read.parquet(f"{root}/fact_orders")
+    fact = orders.tables(spark, root)["fact_orders"]
     assert sorted(r["order_id"] for r in fact.collect()) == [1, 4, 5]
-    [day] = spark.read.parquet(f"{root}/agg_daily_summary").collect()
+    [day] = orders.tables(spark, root)["agg_daily_summary"].collect()
     # The third value is too large for the sum and its mean alike.
     assert day["total_revenue"] > 9e16 and day["avg_order_value"] * 2 == day["total_revenue"]
     odd = fact.withColumn("net_revenue", F.lit(float("inf")))
     failures = {r["check"]: r["failures"] for r in orders.checks(odd).collect()}
     assert failures["non_finite_revenue"] == 3
+    assert failures["non_finite_profit"] == 0
+    odd = fact.withColumn("total_profit", F.lit(float("-inf")))
+    assert {r["check"]: r["failures"] for r in orders.checks(odd).collect()}["non_finite_profit"] == 3
 
 
 def test_a_tip_that_is_not_finite_is_rejected(spark):
@@ -174,9 +177,10 @@ def test_trips_run_end_to_end(spark, tmp_path):
     assert log["load"]["rows"]["fact_trips_rows"] == 2
     assert log["transform"]["columns_added"] == 15 and log["transform"]["rows_after_cleaning"] == 2
     assert [s["step"] for s in log["transform"]["steps"]][-1] == "all"
-    assert set(log["stages_ended_at"]) == {"transform", "load"}
+    assert set(log["stages_ended_at"]) == {"extract", "transform", "load", "checks"}
+    assert log["extract_columns"] == {"trips_raw": len(raw.columns)} and log["extract"] == {"trips_raw": 4}
     assert log["load"]["partition_columns"] == ["pickup_month"]
-    assert spark.read.parquet(f"{root}/rejected_trips").count() == 2
+    assert versions.read(spark, root, "rejected_trips").count() == 2
     empty = trips.run(spark, raw.limit(0), str(tmp_path / "e")).first()
     assert empty["load"]["partitions"] == 0 and empty["status"] == "SUCCESS"
 
@@ -290,3 +294,24 @@ def test_reload_of_nothing_changes_nothing(spark, tmp_path):
         spark, path, history, history.limit(0), fact_of(spark), "order_id", orders.PARTITIONED_BY
     )
     assert spark.read.parquet(path).count() == 1
+
+
+def test_reload_below_a_bare_name(spark, tmp_path):
+    from millrace.sources import storage
+
+    here = storage.parent(spark, "fact_orders")
+    assert here == storage.parent(spark, f"{here}/fact_orders") and not here.endswith(":/")
+
+
+def test_sources_are_named_in_the_log(spark, tmp_path):
+    raw = make_orders(spark, dict(order_id=1), dict(order_id=2))
+    path = str(tmp_path / "raw csv")
+    raw.repartition(2).write.option("header", True).csv(path)
+    from millrace.sources.readers import read_csv
+    from millrace.sources.schemas import RAW_ORDERS
+
+    log = orders.run(spark, read_csv(spark, path, schema=RAW_ORDERS), *dims(spark), str(tmp_path / "star")).first()
+    named = log["sources"]["orders_raw"]
+    assert named["source_format"] == "csv"
+    assert named["source_files"] == sorted(f for f in os.listdir(path) if f.endswith(".csv"))
+    assert log["sources"]["products_raw"]["source_files"] == []

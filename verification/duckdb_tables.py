@@ -125,6 +125,7 @@ order_checks as (
       {{'check': 'null_category', 'failures': count(*) filter (where category is null)}},
       {{'check': 'negative_revenue', 'failures': count(*) filter (where net_revenue < 0)}},
       {{'check': 'non_finite_revenue', 'failures': count(*) filter (where not isfinite(net_revenue))}},
+      {{'check': 'non_finite_profit', 'failures': count(*) filter (where not isfinite(total_profit))}},
       {{'check': 'duplicate_orders', 'failures': count(*) - count(distinct order_id)}}
     ], recursive := true)
   from orders_fact)

@@ -8,13 +8,10 @@ from millrace.functions.measures import mean, rounded, total
 from millrace.operators.audit import duplicate_keys, rule_counts
 from millrace.operators.checks import check_nulls as null_checks
 from millrace.operators.clean import keep_one, require, to_int
+from millrace.operators.dims import hot_keys, lookup_hot
 from millrace.operators.reports import top
-from millrace.operators.rules import Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans import orders
-from millrace.plans.reload import reload_partitions
-from millrace.session import fresh_dir
-from millrace.sources.readers import read_parquet
 from verification import loaded
 from verification.duckdb_tables import davg, dsum, from_orders, hround
 from verification.registry import query
@@ -293,6 +290,20 @@ def join_customers(spark, sf_dir):
     return orders.with_customers(orders.clean(raw_orders(spark, sf_dir)), customers(spark, sf_dir))
 
 
+@query(
+    from_orders(
+        """select o.*, c.customer_name, c.city, c.country, c.customer_segment
+           from raw_orders o left join customers c on o.customer_id = c.customer_id"""
+    )
+)
+def join_hot_keys(spark, sf_dir):
+    """Raw lines, with missing customers, beside their customer; keys found hot are salted."""
+    raw = raw_orders(spark, sf_dir)
+    hot = hot_keys(raw, "customer_id", share=0.001)
+    by_double = customers(spark, sf_dir).withColumn("customer_id", F.col("customer_id").cast("double"))
+    return lookup_hot(raw, by_double, "customer_id", orders.CUSTOMER_COLUMNS, hot)
+
+
 @query(from_orders("select * from orders_fact"))
 def fact_orders(spark, sf_dir):
     return orders.fact(
@@ -537,29 +548,3 @@ def check_nulls(spark, sf_dir):
 @query(from_orders(f"select *, {_VERDICT} from order_checks"))
 def check_orders(spark, sf_dir):
     return orders.checks(loaded.fact_orders(spark, sf_dir))
-
-
-# --- incremental reload
-
-BATCH = Rule("late", "order_date >= timestamp_ntz'2000-01-01'")
-
-
-@query(from_orders("select * from orders_fact"))
-def incremental_reload(spark, sf_dir):
-    """Load what came before a cut-off, fold in the rest; the result is the full fact."""
-    raw = raw_orders(spark, sf_dir)
-    batch = raw.filter(BATCH.column())
-    history = raw.filter(~BATCH.holds())
-    p, c = products(spark, sf_dir), customers(spark, sf_dir)
-    path = fresh_dir(spark, "fact-reloaded")
-    orders.write_fact(history, p, c, path)
-    reload_partitions(
-        spark,
-        path,
-        history,
-        batch,
-        lambda rows: orders.fact(rows, p, c),
-        orders.KEY,
-        orders.PARTITIONED_BY,
-    )
-    return read_parquet(spark, path)

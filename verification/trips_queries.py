@@ -11,6 +11,7 @@ from millrace.functions.columns import elapsed_seconds
 from millrace.operators import audit
 from millrace.operators.clean import reason_counts, require
 from millrace.plans import orders, trips
+from millrace.session import fresh_dir
 from verification import loaded
 from verification.duckdb_tables import (
     DISTANCE,
@@ -164,6 +165,55 @@ def audit_summary(spark, sf_dir):
     return audit.issue_summary(raw_trips(spark, sf_dir), trips.HEADLINE, every_rule)
 
 
+
+@query(
+    from_trips(
+        f"""select 'nulls' as section, column_name as name, cast(null as varchar) as value, null_count as number
+            from ({_null_counts("trips", _TRIP_COLUMNS)})
+            union all
+            select 'rules', rule, null, matches
+            from (select unnest([{_rule_rows(_TRIP_RULES | {"wrong_year": "year(tpep_pickup_datetime) <> 2024"})}], recursive := true) from raw_trips)
+            union all select 'codes', 'VendorID', cast(VendorID as varchar), count(*) from raw_trips group by VendorID
+            union all select 'codes', 'payment_type', cast(payment_type as varchar), count(*) from raw_trips group by payment_type
+            union all select 'codes', 'RatecodeID', cast(RatecodeID as varchar), count(*) from raw_trips group by RatecodeID
+            union all select 'range', 'earliest_pickup', strftime(min(tpep_pickup_datetime), '%Y-%m-%d %H:%M:%S'), null from raw_trips
+            union all select 'range', 'latest_dropoff', strftime(max(tpep_dropoff_datetime), '%Y-%m-%d %H:%M:%S'), null from raw_trips
+            union all select 'summary', 'total_rows', null, count(*) from raw_trips
+            union all select 'summary', 'rows_with_issue', null,
+                count(*) filter (where {" or ".join(f"coalesce({c}, false)" for c in _TRIP_RULES.values())}
+                                 or year(tpep_pickup_datetime) <> 2024) from raw_trips"""
+    )
+)
+def audit_profile(spark, sf_dir):
+    """Every audit of the raw trips from one aggregate over them, in long form."""
+    found = audit.Profile(
+        raw_trips(spark, sf_dir),
+        fresh_dir(spark, "profile"),
+        rules=[*trips.AUDITED, trips.OUT_OF_PERIOD],
+        codes=trips.CODE_COLUMNS,
+        ranges={trips.PICKUP: "pickup", trips.DROPOFF: "dropoff"},
+        any_of=[*trips.AUDITED, trips.OUT_OF_PERIOD],
+    )
+    no_text, no_number = "cast(null as string) as value", "cast(null as bigint) as number"
+    ends = found.value_range()
+    stamp = "date_format({}, 'yyyy-MM-dd HH:mm:ss') as value"
+    issues = found.issue_summary(trips.HEADLINE)
+    parts = [
+        found.nulls().selectExpr("'nulls' as section", "column_name as name", no_text, "null_count as number"),
+        found.rule_counts().selectExpr("'rules' as section", "rule as name", no_text, "matches as number"),
+        found.distribution().selectExpr("'codes' as section", "column_name as name", "value", "rows as number"),
+        *(
+            ends.selectExpr("'range' as section", f"'{end}' as name", stamp.format(end), no_number)
+            for end in ("earliest_pickup", "latest_dropoff")
+        ),
+        *(
+            issues.selectExpr("'summary' as section", f"'{name}' as name", no_text, f"{name} as number")
+            for name in ("total_rows", "rows_with_issue")
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- cleaning
 
 
