@@ -13,7 +13,7 @@ from millrace.functions.columns import bucket, flag
 from millrace.functions.measures import mean, percent, ratio, rounded, total
 from millrace.operators.audit import rule_counts
 from millrace.operators.checks import check_rules, check_unique, gate, null_rules
-from millrace.operators.clean import COPIES, keep_one, require, step_counts, to_int
+from millrace.operators.clean import COPIES, collapse, keep_one, require, step_counts, to_int
 from millrace.operators.dims import lookup, orphan_counts, require_unique
 from millrace.operators.judge import all_rows, kept_rows, one_each, rejected_rows, write_judged
 from millrace.operators.reports import Report
@@ -28,6 +28,7 @@ from millrace.sources.schemas import CORRUPT_RECORD, RAW_ORDERS
 from millrace.sources.versions import Draft
 from millrace.sources.writers import (
     append_json,
+    at_once,
     verify_partitions,
     verify_tables,
     write_partitioned,
@@ -214,7 +215,9 @@ def steps_of(judged: DataFrame) -> DataFrame:
 
 
 def clean_steps(raw: DataFrame) -> DataFrame:
-    return steps_of(judge(raw))
+    """As ``steps_of``, in one go: rows of one key are merged per task, and nothing is written."""
+    one_row = collapse(readable(raw), [KEY], KEEP_ORDER)
+    return step_counts(one_row, [HAS_ID, HAS_PRICE, HAS_QUANTITY, HAS_CUSTOMER], COPIES)
 
 
 def add_revenue(df: DataFrame) -> DataFrame:
@@ -354,10 +357,12 @@ def run(
     with logged_failure(spark, "orders", clock, root):
         draft = Draft(spark, root)
         sources = {"orders_raw": raw, "products_raw": products, "customers_raw": customers}
-        dimension_rows = {
-            "products_raw": require_unique(products, "product_id"),
-            "customers_raw": require_unique(customers, "customer_id"),
-        }
+        dimension_rows = at_once(
+            {
+                "products_raw": lambda: require_unique(products, "product_id"),
+                "customers_raw": lambda: require_unique(customers, "customer_id"),
+            }
+        )
         clock.end("extract")
         judged = judge(raw)
         built = build_fact(cleaned_of(judged), products, customers)
@@ -387,11 +392,19 @@ def run(
         back = {name: versions.read_folders(spark, root, name, folders[name]) for name in others}
         back[FACT] = loaded
         # A few rows each: the only data that comes to the driver.
-        audit = {r["rule"]: r["matches"] for r in rule_counts(all_rows(judged), [ALL_ROWS, *AUDITED]).collect()}
+        counted = at_once(
+            {
+                "audit": rule_counts(all_rows(judged), [ALL_ROWS, *AUDITED]).collect,
+                "steps": steps_of(judged).collect,
+                "tables": verify_tables(back, written).collect,
+                "partitions": verify_partitions(loaded, PARTITIONED_BY).first,
+                "checks": checks(loaded).collect,
+            }
+        )
+        audit = {r["rule"]: r["matches"] for r in counted["audit"]}
         raw_rows = audit.pop(ALL_ROWS.name)
-        found = {r["table"]: r for r in verify_tables(back, written).collect()}
-        partitions = verify_partitions(loaded, PARTITIONED_BY).first()
-        failures = {r["check"]: r["failures"] for r in checks(loaded).collect()}
+        found = {r["table"]: r for r in counted["tables"]}
+        failures = {r["check"]: r["failures"] for r in counted["checks"]}
         failures[ALTERED] = sum(not r["intact"] for r in found.values())
         clock.end("checks")
         passed = not any(failures.values())
@@ -403,7 +416,7 @@ def run(
             sources=sources,
             extract={"orders_raw": raw_rows, **dimension_rows},
             issues=audit,
-            steps=steps_of(judged).collect(),
+            steps=counted["steps"],
             last_cleaning_step=HAS_CUSTOMER.name,
             rows_final=found[FACT]["rows"],
             columns_before=len(RAW_ORDERS),
@@ -413,7 +426,7 @@ def run(
             final_columns=found[FACT]["columns"],
             loaded={f"{name}_rows": found[name]["rows"] for name in TABLES},
             partition_columns=PARTITIONED_BY,
-            partitions=partitions["partitions"],
+            partitions=counted["partitions"]["partitions"],
             root=root,
             version=draft.number,
             published=publish,

@@ -24,7 +24,7 @@ from millrace.operators.clean import COPIES, collapse
 from millrace.operators.summaries import Summary, distinct_values, merged, partial_states
 from millrace.sources import storage, versions
 from millrace.sources.versions import Draft, Manifest
-from millrace.sources.writers import spread, write_partitioned, write_table, write_tables
+from millrace.sources.writers import at_once, spread, write_partitioned, write_table, write_tables
 
 BUCKET = "bucket"
 #: Into how many ranges the keys of the first load are cut.
@@ -92,8 +92,7 @@ def write_states(rows: DataFrame, fact: Fact, draft: Draft) -> dict[str, T.Struc
     """Write the states of these fact rows; schemas by table, because a table may stay empty."""
     made = state_tables(rows, fact)
     by = [f"by_{c}" for c in fact.by]
-    for name, df in made.items():
-        write_partitioned(df, draft.path(name), by)
+    at_once({name: lambda df=df, name=name: write_partitioned(df, draft.path(name), by) for name, df in made.items()})
     return {name: df.schema for name, df in made.items()}
 
 

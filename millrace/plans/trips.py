@@ -26,6 +26,7 @@ from millrace.sources.readers import read_parquet
 from millrace.sources.versions import Draft
 from millrace.sources.writers import (
     append_json,
+    at_once,
     spread,
     verify_partitions,
     verify_tables,
@@ -371,12 +372,19 @@ def run(
         back = {name: versions.read_folders(spark, root, name, folders[name]) for name in others}
         back[FACT] = loaded
         # A few rows each: the only data that comes to the driver.
-        counted = rule_counts(all_rows(judged), [ALL_ROWS, *AUDITED, out_of_period(year)])
-        issues = {r["rule"]: r["matches"] for r in counted.collect()}
+        counted = at_once(
+            {
+                "audit": rule_counts(all_rows(judged), [ALL_ROWS, *AUDITED, out_of_period(year)]).collect,
+                "steps": steps_of(judged, year).collect,
+                "tables": verify_tables(back, written).collect,
+                "partitions": verify_partitions(loaded, PARTITIONED_BY).first,
+                "checks": checks(loaded, year).collect,
+            }
+        )
+        issues = {r["rule"]: r["matches"] for r in counted["audit"]}
         raw_rows = issues.pop(ALL_ROWS.name)
-        found = {r["table"]: r for r in verify_tables(back, written).collect()}
-        partitions = verify_partitions(loaded, PARTITIONED_BY).first()
-        failures = {r["check"]: r["failures"] for r in checks(loaded, year).collect()}
+        found = {r["table"]: r for r in counted["tables"]}
+        failures = {r["check"]: r["failures"] for r in counted["checks"]}
         failures[ALTERED] = sum(not r["intact"] for r in found.values())
         clock.end("checks")
         publish = publish_failed or not any(failures.values())
@@ -387,7 +395,7 @@ def run(
             sources=sources,
             extract={"trips_raw": raw_rows},
             issues=issues,
-            steps=steps_of(judged, year).collect(),
+            steps=counted["steps"],
             last_cleaning_step=TIME_ORDER.name,
             rows_final=found[FACT]["rows"],
             columns_before=len(raw.columns),
@@ -397,7 +405,7 @@ def run(
             final_columns=found[FACT]["columns"],
             loaded={f"{name}_rows": found[name]["rows"] for name in TABLES},
             partition_columns=PARTITIONED_BY,
-            partitions=partitions["partitions"],
+            partitions=counted["partitions"]["partitions"],
             root=root,
             version=draft.number,
             published=publish,

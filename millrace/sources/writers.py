@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -24,9 +24,14 @@ def write_watched(df: DataFrame, path: str) -> dict[str, object]:
 
 def write_tables(tables: Mapping[str, DataFrame]) -> dict[str, dict[str, object]]:
     """Replace several tables, by path, at once: each alone would leave a cluster idle."""
-    with ThreadPoolExecutor(max(1, len(tables))) as pool:
-        running = {path: pool.submit(write_watched, df, path) for path, df in tables.items()}
-        return {path: done.result() for path, done in running.items()}
+    return at_once({path: lambda df=df, path=path: write_watched(df, path) for path, df in tables.items()})
+
+
+def at_once(jobs: Mapping[str, Callable[[], object]]) -> dict:
+    """Results of independent jobs, by name, run side by side."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: done.result() for name, done in running.items()}
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
