@@ -10,8 +10,9 @@ The items are the only thing sent to every task. Their size is measured first: b
 and the hits of a document are merged, so memory stays bounded whatever the benchmark holds.
 
 Defined cases: a null text has no words; an item without words has no windows; items with
-equal windows are all reported; rows that share an item_id are one item; a row that occurs
-twice is reported twice; an empty benchmark hits nothing; no documents give no rows.
+equal windows are all reported; rows that share an item_id are one item, and so are all items
+without an id, which count and hit like others and come last, as null; a row that occurs
+twice is reported twice; other columns pass through, but for those named like a result; an empty benchmark hits nothing; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -109,7 +110,8 @@ def _worker(items: list[tuple[str, str | None]], window: int) -> Callable[[], Wo
                 [n for n, _, _ in rows],
                 [[{"first": a, "last": b} for a, b in hits] for _, hits, _ in rows],
                 [_spans(t, hits) if hits else [] for t, (_, hits, _) in zip(texts, rows)],
-                [sorted(found) for _, _, found in rows],
+                # An item without an id comes last, as in Spark's order of arrays.
+                [sorted(found, key=lambda i: (i is None, i or "")) for _, _, found in rows],
             ]
 
         return work
@@ -125,10 +127,9 @@ def find_contamination(
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``keep`` (default: all columns) with n_words, hit_words, hit_spans, items, contaminated."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
-        F.col("text").isNotNull() & F.col("item_id").isNotNull()
-    )
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item_id"))).first()[0] or 0
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
+    of_id = F.coalesce(F.octet_length("item_id"), F.lit(0))
+    size = items.agg(F.sum(F.octet_length("text") + of_id)).first()[0] or 0
     n_parts = max(1, math.ceil(size / part_bytes))
     if n_parts == 1:
         found = add_columns(docs, _worker([tuple(r) for r in items.collect()], window), HITS, keep=keep)
