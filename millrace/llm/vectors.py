@@ -14,8 +14,9 @@ Equal vectors are merged first and counted.
 
 Defined cases: a vector that is null, empty, zero or holds null, NaN or infinity links with
 nothing; vectors of another length than most are compared among themselves; a vec_id that
-occurs twice is one node, each of its rows is compared and returned; an empty table gives no
-rows. The work grows with the square of the number of vectors when the first component does
+occurs twice is one node, each of its rows is compared and returned with the links of its own
+vector; a row without an id links with nothing; other columns do not matter, whatever their
+names; an empty table gives no rows. The work grows with the square of the number of vectors when the first component does
 not separate them.
 """
 
@@ -36,6 +37,8 @@ BLOCK = 4096
 #: Coordinates multiplied for all pairs, then for those left, before the exact cosine.
 STEPS = (16, 16)
 TILE = 512
+#: Numbers of pairs of vectors that are held beside one another.
+PAIR_NUMBERS = 1 << 21
 #: Room for rounding in the turned coordinates.
 SLACK = 1e-9
 
@@ -83,8 +86,10 @@ def linked(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, sam
     ua, ub = unit(a), unit(b)
     ta, tb = ua @ axes, ub @ axes
     head = STEPS[0]
-    rest_a = np.sqrt(np.maximum(0, 1 - (ta[:, :head] ** 2).sum(axis=1)))
-    rest_b = np.sqrt(np.maximum(0, 1 - (tb[:, :head] ** 2).sum(axis=1)))
+    ends = head + np.cumsum(STEPS[1:])
+    # What is left beyond each step, once per vector.
+    rests_a, rests_b = ([np.sqrt((t[:, at:] ** 2).sum(axis=1)) for at in (head, *ends)] for t in (ta, tb))
+    rest_a, rest_b = rests_a[0], rests_b[0]
     low = threshold - SLACK
     found = []
     for i in range(0, len(a), TILE):
@@ -96,17 +101,18 @@ def linked(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, sam
             x, y = np.nonzero(can)
             if not len(x):
                 continue
-            so_far = part[x, y]
-            x, y, at = x + i, y + j, head
-            for step in STEPS[1:]:
-                so_far = so_far + (ta[x, at : at + step] * tb[y, at : at + step]).sum(axis=1)
-                at += step
-                left = np.sqrt(np.maximum(0, (ta[x, at:] ** 2).sum(axis=1) * (tb[y, at:] ** 2).sum(axis=1)))
-                on = so_far + left >= low
-                x, y, so_far = x[on], y[on], so_far[on]
-            on = (ua[x] * ub[y]).sum(axis=1) >= threshold
-            if on.any():
-                found.append((x[on], y[on]))
+            # Few pairs at a time: each takes a copy of both its vectors.
+            few = max(1, PAIR_NUMBERS // a.shape[1])
+            for k in range(0, len(x), few):
+                p, q = x[k : k + few] + i, y[k : k + few] + j
+                so_far, at = part[p - i, q - j], head
+                for step, to in enumerate(ends, 1):
+                    so_far = so_far + np.einsum("ij,ij->i", ta[p, at:to], tb[q, at:to])
+                    on = so_far + rests_a[step][p] * rests_b[step][q] >= low
+                    p, q, so_far, at = p[on], q[on], so_far[on], to
+                on = (ua[p] * ub[q]).sum(axis=1) >= threshold
+                if on.any():
+                    found.append((p[on], q[on]))
     if not found:
         return np.zeros(0, int), np.zeros(0, int)
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
@@ -188,40 +194,42 @@ def _tiles_of(merged: DataFrame, size: int, threshold: float) -> DataFrame:
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id and kept, one row per row of ``embeddings``."""
-    good = kept(_usable(embeddings), "usable")
-    # Equal directions stored alike are one; multiples of a vector meet in the tiles.
-    merged = kept(
-        good.groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")), "merged"
-    )
+    good = _usable(embeddings)
+    # Equal directions stored alike are one, with a number of its own: an id may have several.
+    directions = good.groupBy("v").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+    merged = kept(directions.withColumn("vec_id", F.monotonically_increasing_id()), "merged")
     sizes = [r[0] for r in merged.select(F.size("v")).distinct().collect()]
     found = None
     for size in sizes:
-        part = _tiles_of(merged.where(F.size("v") == size), size, threshold)
+        part = _tiles_of(merged.where(F.size("v") == size).drop("first"), size, threshold)
         found = part if found is None else found.union(part)
-    ids = embeddings.select("vec_id")
     if found is None:
-        return ids.select(
+        return embeddings.select(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
     found = kept(found, "tiles")
     links = found.where("other < 0").groupBy("vec_id").agg(F.sum("n").alias("linked"))
-    of = merged.withColumnRenamed("vec_id", "of")
-    copies = good.join(of, "v").select("vec_id", "of", "n")
-    # A row of an id that repeats may differ from its twins, so links go by direction.
-    counted = copies.join(links.withColumnRenamed("vec_id", "of"), "of", "left").select(
-        "vec_id", "of", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    counted = merged.join(links, "vec_id", "left").select(
+        F.col("vec_id").alias("direction"),
+        "first",
+        (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"),
     )
     counted = kept(counted, "counted")
-    edges = found.where("other >= 0").select(F.col("vec_id").alias("a"), F.col("other").alias("b")).union(
-        counted.where("vec_id <> of").select(F.col("vec_id").alias("a"), F.col("of").alias("b"))
+    # Without an id a row is on its own, whatever its vector.
+    v = F.when(F.col("vec_id").isNotNull(), F.col("embedding").cast("array<double>"))
+    of = merged.select("v", F.col("vec_id").alias("direction"))
+    rows = kept(embeddings.select("vec_id", v.alias("v")).join(of, "v", "left").select("vec_id", "direction"), "rows")
+    marked = rows.join(counted, "direction", "left")
+    # Between directions the links go by the first id of each, and from there to its other ids.
+    first = counted.select("direction", "first")
+    tree = found.where("other >= 0").select(F.col("vec_id").alias("a"), F.col("other").alias("b"))
+    tree = tree.join(first.toDF("a", "first_a"), "a").join(first.toDF("b", "first_b"), "b")
+    edges = tree.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")).where("a <> b").union(
+        marked.where("vec_id <> first").select(F.col("vec_id").alias("a"), F.col("first").alias("b"))
     )
     roots = components(edges)
-    linkless = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    marked = linkless.select("vec_id", "v").join(of, "v", "left").select("vec_id", "of")
-    per_direction = counted.groupBy("of").agg(F.max("n_links").alias("n_links"))
     return (
-        marked.join(per_direction, "of", "left")
-        .join(roots, F.col("vec_id") == F.col("node"), "left")
+        marked.join(roots, F.col("vec_id") == F.col("node"), "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
