@@ -8,28 +8,43 @@
 5. sentencepiece: whole texts become piece ids.
 
 Each stage takes and returns rows of `documents`; the last adds ids and n_tokens. A text that
-loses lines gets its new length in n_chars. Null texts go at stage 1.
+loses lines gets its new length in n_chars. Null texts go at stage 1. All columns of the caller
+go through every stage as they are, whatever their names; where one is called ids or n_tokens,
+the last stage puts an underscore after its own. An empty table goes through as such.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, language, lines, near_text, sentencepieces
 from millrace.llm.tables import kept, prepare, table
 
 
+def _apart(docs: DataFrame, *used: str) -> DataFrame:
+    """The caller's columns in one, so that none meets a name that an operator uses inside."""
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("caller")
+    return docs.select(others, *used, "text")
+
+
+def _as_before(found: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, in their order."""
+    back = {c: F.col("text") if c == "text" else F.col(f"caller.`{c}`") for c in docs.columns} | changed
+    return found.select(*(back[c].alias(c) for c in docs.columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return language.identify(docs, language.learn(docs)).where(~F.col("rejected")).select(docs.columns)
+    found = language.identify(_apart(docs), language.learn(docs.select("lang", "text")))
+    return _as_before(found.where(~F.col("rejected")), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = lines.drop_repeated_lines(docs)
-    length = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", length).select(docs.columns)
+    found = lines.drop_repeated_lines(_apart(docs, "doc_id"))
+    length = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("caller.n_chars"))
+    return _as_before(found, docs, n_chars=length)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +54,24 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(docs.columns)
+    found = decontaminate.find_contamination(_apart(docs), table(spark, sf_dir, "benchmark"))
+    return _as_before(found.where(~F.col("contaminated")), docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
+    found = sentencepieces.encode(_apart(docs))
     n_tokens = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long")
-    return sentencepieces.encode(docs).withColumn("n_tokens", n_tokens)
+    before = [F.col("text") if c == "text" else F.col(f"caller.`{c}`").alias(c) for c in docs.columns]
+    return found.select(
+        *before, F.col("ids").alias(_free("ids", docs)), n_tokens.alias(_free("n_tokens", docs))
+    )
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 STAGES = [
