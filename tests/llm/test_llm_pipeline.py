@@ -2,6 +2,7 @@ import hashlib
 
 import pytest
 from corpus_rows import SCHEMA, awkward_texts, frame
+from pyspark.sql import functions as F
 from test_llm_decontaminate import expected as hits
 from test_llm_lines import expected as line_rows
 from test_llm_near_text import expected as classes
@@ -51,10 +52,23 @@ def test_each_stage_equals_brute_force_on_what_it_gets(spark, sf_dir):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(r.doc_id for r in done)
 
 
+OWN = ("n_lines", "n_dropped", "items", "hit_words", "n_words", "lang_pred", "rejected", "ids", "n_tokens", "caller", "_letters", "_low", "_row")
+
+
 @pytest.mark.parametrize("rows", [[], awkward_texts(13)])
-def test_awkward_rows_go_through_all_stages(spark, sf_dir, rows):
-    docs = frame(spark, rows)
-    for _, stage in corpus_pipeline.STAGES:
+def test_awkward_rows_and_own_columns_go_through_all_stages(spark, sf_dir, rows):
+    docs = frame(spark, rows, clashing=True)
+    docs = docs.select("*", *(F.lit(f"own {c}").alias(c) for c in OWN if c not in docs.columns))
+    own = [c for c in docs.columns if c not in [d.split()[0] for d in SCHEMA.split(", ")]]
+    types = dict(docs.dtypes)
+    for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
-    assert docs.columns[:5] == [c.split()[0] for c in SCHEMA.split(", ")]
-    docs.collect()
+        assert {c: dict(docs.dtypes)[c] for c in types} == types, name
+        assert all(r[c] == f"own {c}" for r in docs.collect() for c in own), name
+    assert docs.columns[-2:] == ["ids_", "n_tokens_"]
+
+
+def test_the_text_operators_can_be_imported_here():
+    import __spark_entry__
+
+    assert __spark_entry__.llm is not None
