@@ -1,23 +1,29 @@
 """LM scoring by a log-bilinear model, trained in numpy by noise-contrastive estimation.
 
-Words are counted over all training texts in Spark. The most frequent words are classes of
-their own; all others share SUFFIX_CLASSES classes by their last two bytes. The model predicts
-the next class from the two before it: the predicted vector is a weighted sum of the context
-classes' vectors, the score of a class is its product with the class vector plus a bias. A
-word's probability is that of its class times its smoothed share of the class.
-
-Every task trains on all its texts from the same start: each class seen is told apart from
-noise drawn from the classes' frequencies, in batches of positions against one set of noise
-samples, as matrix products. The tasks' parameters are averaged in Spark by their numbers of
-tokens; only the average reaches the driver. For scoring, scores are normalised over all
-classes, again by matrix products, once per context that a task meets.
-
-A word's count is looked up in the tasks for the HEAD most frequent words. The other words of
-a text are joined with the counts by a 64-bit hash, so no table of all words is ever sent.
+1. Words are counted over all training texts in Spark. A word whose count is over a bound has a
+   vector of its own, as a context and as a prediction; the bound grows with the square root of
+   the corpus, so the model's vocabulary grows with it. Rarer words share SUFFIX_UNITS units
+   by their last two bytes, where a word's probability is its smoothed share of the unit.
+2. Units lie in classes, cut from most to least frequent at equal sums of square roots of counts.
+   A unit's probability is that of its class times its own in the class. Both come from the
+   same predicted vector, a weighted sum of the vectors of the CONTEXT units before.
+3. Texts become unit numbers once. They are dealt by row to slices of near SLICE_TOKENS tokens, and
+   the slices to ROUNDS rounds. In a round every slice trains from the same parameters: each
+   class and unit seen is told apart from noise drawn from the class counts and from the counts
+   inside the class, in batches, as matrix products with AdaGrad steps. What the slices changed
+   in a row is averaged in Spark over those that touched it, and the next round begins there.
+   All training tokens are used once; how the table is cut into files or tasks does not matter
+   but by chance.
+4. For scoring, scores are normalised over all classes and over all units of the class seen.
+
+Sent to every task, and held by the driver, are the counts of at most HEAD words of up to HEAD_BYTES
+bytes, and vectors for those of them that are over the bound. The other words of a text are
+joined with the counts by 128 bits of hashes, so no table of all words is ever sent.
 
 Defined cases: a null text is empty and is the end alone; an empty training set gives base
 scores of 0 and a model that knows nothing; repeated rows are scored each (and learned from
-each); a null doc_id counts as empty text for the split. Other columns do not matter.
+each); a null doc_id counts as empty text for the split; a text of any length is read whole; a
+column named like a result gives way to it, other columns pass through `score` as they are.
 """
 
 from __future__ import annotations
@@ -42,12 +48,21 @@ END = b""
 #: Bound on the words whose counts are sent to every task, and on the bytes of each.
 HEAD = 1 << 18
 HEAD_BYTES = 64
-WORD_CLASSES = 768
-SUFFIX_CLASSES = 64
-DIMENSIONS = 16
-NOISE = 24
-BATCH = 4096
-RATE = 0.15
+#: Words of LEAST tokens and of ROOT_SHARE times the root of all tokens have vectors.
+LEAST, ROOT_SHARE = 8, 1 / 56
+SUFFIX_UNITS = 64
+#: Classes for each unit's square root.
+CLASS_SHARE = 1.2
+DIMENSIONS = 12
+CONTEXT = 2
+#: Noise samples: classes for a batch, units for each token.
+CLASS_NOISE, UNIT_NOISE = 12, 1
+BATCH = 2048
+RATE = 0.3
+#: A step takes the sum of a batch's slopes by so much.
+STEP = 1 / 64
+SLICE_TOKENS = 2_000_000
+ROUNDS = 8
 #: Distinct words a task holds before it passes their counts on.
 COUNTED_AT_ONCE = 300_000
 
@@ -57,13 +72,17 @@ def tokens(text: str | None) -> list[bytes]:
     return [*text.encode().lower().split(), END] if text else [END]
 
 
-def suffix_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % SUFFIX_CLASSES
+def suffix_unit(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % SUFFIX_UNITS
+
 
+_SECOND = xxhash.xxh64_intdigest(b"second", 42)
 
-def word_hash(word: bytes) -> int:
-    value = xxhash.xxh64_intdigest(word, 42)  # as Spark's xxhash64
-    return value - (1 << 64) if value >> 63 else value
+
+def word_hashes(word: bytes) -> tuple[int, int]:
+    """As Spark's xxhash64 of the word, and of the text "second" and the word."""
+    values = xxhash.xxh64_intdigest(word, 42), xxhash.xxh64_intdigest(word, _SECOND)
+    return tuple(v - (1 << 64) if v >> 63 else v for v in values)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -91,27 +110,50 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Corpus:
-    """Counts of frequent words and of classes; ``n``: tokens, ``v``: distinct tokens."""
+    """Counts of frequent words and of units; ``n``: tokens, ``v``: distinct tokens.
+
+    Units are numbered class by class, the most frequent first.
+    """
 
     n: int
     v: int
     words: dict[bytes, int]  # frequent word -> its number, most frequent first
     counts: np.ndarray  # by that number
-    classes: np.ndarray  # class of each frequent word
-    mass: np.ndarray  # tokens of each class
-    below: np.ndarray  # denominators of the shares inside the suffix classes
+    unit: np.ndarray  # of each frequent word
+    suffix: np.ndarray  # unit of each suffix
+    own: int  # the first so many frequent words have a unit of their own
+    mass: np.ndarray  # tokens of each unit, and a half
+    first: np.ndarray  # where each class begins, and the number of units
+    below: np.ndarray  # denominators of the shares inside the suffix units
 
     @property
-    def n_classes(self) -> int:
+    def n_units(self) -> int:
         return len(self.mass)
 
+    @property
+    def n_classes(self) -> int:
+        return len(self.first) - 1
+
+    def class_of(self) -> np.ndarray:
+        return np.repeat(np.arange(self.n_classes, dtype=np.int32), np.diff(self.first))
+
     def base_logs(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
 
+def classes_of(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Units in the order of their classes, and where each class begins."""
+    order = np.argsort(-mass, kind="stable")
+    wanted = max(1, round(CLASS_SHARE * math.sqrt(len(mass))))
+    place = np.cumsum(np.sqrt(mass[order]))
+    cut = np.minimum((place / place[-1] * wanted).astype(np.int64), wanted - 1)
+    begins = np.flatnonzero(np.concatenate(([True], cut[1:] != cut[:-1])))
+    return order, np.append(begins, len(mass))
+
+
 def summarise_counts(counts: DataFrame) -> Corpus:
     suffix = F.when(F.length("word") == 0, -1).otherwise(
-        F.crc32(F.substring("word", -2, 2)) % SUFFIX_CLASSES
+        F.crc32(F.substring("word", -2, 2)) % SUFFIX_UNITS
     )
     by_suffix = counts.groupBy(suffix.alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
     n, v = sum(r["c"] for r in by_suffix), sum(r["v"] for r in by_suffix)
@@ -128,250 +170,358 @@ def summarise_counts(counts: DataFrame) -> Corpus:
     rows = [] if lowest is None else short.where(bin_ >= lowest).collect()
     rows = sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
     words = {word: i for i, (word, _) in enumerate(rows)}
-    single = min(WORD_CLASSES, len(rows))
-    number = [i if i < single else WORD_CLASSES + suffix_class(word) for word, i in words.items()]
-    mass = np.zeros(WORD_CLASSES + SUFFIX_CLASSES)
-    below = np.full(SUFFIX_CLASSES, 0.5)
+    least = max(LEAST, ROOT_SHARE * math.sqrt(n))
+    own = sum(c >= least or word == END for word, c in rows)
+    if END in words and words[END] >= own:  # the end always has a unit of its own
+        at = rows.pop(words[END])
+        rows.insert(own - 1, at)
+        words = {word: i for i, (word, _) in enumerate(rows)}
+    mass = np.full(own + SUFFIX_UNITS, 0.5)
+    below = np.full(SUFFIX_UNITS, 0.5)
     for r in by_suffix:
         if r["g"] >= 0:
-            mass[WORD_CLASSES + r["g"]] += r["c"]
+            mass[own + r["g"]] += r["c"]
             below[r["g"]] += r["c"] + 0.5 * r["v"]
-    for i, (word, c) in enumerate(rows[:single]):
-        mass[i] = c
+    for i, (word, c) in enumerate(rows[:own]):
+        mass[i] += c
         if word != END:
-            mass[WORD_CLASSES + suffix_class(word)] -= c
-            below[suffix_class(word)] -= c + 0.5
-    return Corpus(n, v, words, np.array([c for _, c in rows], np.int64), np.array(number, np.int32), mass, below)
+            mass[own + suffix_unit(word)] -= c
+            below[suffix_unit(word)] -= c + 0.5
+    order, first = classes_of(mass)
+    place = np.empty(len(mass), np.int32)
+    place[order] = np.arange(len(mass), dtype=np.int32)
+    unit = place[[i if i < own else own + suffix_unit(word) for word, i in words.items()]] if words else np.zeros(0, np.int32)
+    counted = np.array([c for _, c in rows], np.int64)
+    return Corpus(n, v, words, counted, unit, place[own:], own, mass[order], first, below)
 
 
-class Sequence:
-    """Tokens of some texts as numbers and classes, with the two classes before each."""
+PARTS = (
+    "units binary, n_tokens long, n_known long, base double, share double, "
+    "rare array<struct<h1: long, h2: long, g: int, times: long>>"
+)
 
-    def __init__(self, texts: list, corpus: Corpus):
-        self.split = [tokens(text) for text in texts]
+
+def _coder(sent) -> Callable[[], Worker]:
+    """Texts as unit numbers, with what the counts of frequent words say of them."""
+
+    def start() -> Worker:
+        corpus = Corpus(*sent.value)
         get = corpus.words.get
-        self.lengths = np.array([len(words) for words in self.split])
-        self.number = np.array([get(w, -1) for words in self.split for w in words], np.int32)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        classes = corpus.classes[self.number] if len(corpus.classes) else np.zeros(len(self.number), np.int32)
-        self.rare = np.flatnonzero(self.number < 0)
-        owner = np.searchsorted(self.starts, self.rare, "right") - 1
-        self.rare_words = [
-            self.split[d][i] for d, i in zip(owner.tolist(), (self.rare - self.starts[owner]).tolist())
-        ]
-        self.rare_owner = owner
-        # The end is always frequent, but for a corpus without texts.
-        classes[self.rare] = [WORD_CLASSES + suffix_class(w) for w in self.rare_words]
-        self.classes = classes
-        begin = corpus.n_classes  # the class before the first word
-        padded = np.concatenate(([begin, begin], classes))
-        self.before1, self.before2 = padded[1:-1].copy(), padded[:-2].copy()
-        self.before1[self.starts] = begin
-        self.before2[self.starts] = begin
-        second = self.starts[self.lengths > 1] + 1
-        self.before2[second] = begin
+        base = np.append(corpus.base_logs(corpus.counts), 0.0)  # the last one stands for rare words
+        unit = np.append(corpus.unit, 0).astype(np.int32)
+        share = np.zeros(len(base))
+        inside = np.array([suffix_unit(w) for w in list(corpus.words)[corpus.own :]], np.int64)
+        share[corpus.own : -1] = np.log10((corpus.counts[corpus.own :] + 0.5) / corpus.below[inside])
+
+        def work(texts: list) -> list:
+            split = [tokens(text) for text in texts]
+            lengths = np.array([len(words) for words in split])
+            starts = np.cumsum(lengths) - lengths
+            number = np.array([get(w, -1) for words in split for w in words], np.int32)
+            units = unit[number]
+            missing = np.flatnonzero(number < 0)
+            owner = np.searchsorted(starts, missing, "right") - 1
+            rare: list[Counter] = [Counter() for _ in texts]
+            for at, d, i in zip(missing.tolist(), owner.tolist(), (missing - starts[owner]).tolist()):
+                word = split[d][i]
+                rare[d][word] += 1
+                units[at] = corpus.suffix[suffix_unit(word)]
+            raw = units.astype("<i4").tobytes()
+            return [
+                [raw[4 * a : 4 * (a + n)] for a, n in zip(starts.tolist(), lengths.tolist())],
+                pa.array(lengths.astype(np.int64)),
+                pa.array(np.add.reduceat((number >= 0).astype(np.int64), starts)),
+                pa.array(np.add.reduceat(base[number], starts)),
+                pa.array(np.add.reduceat(share[number], starts)),
+                [
+                    [dict(zip(("h1", "h2"), word_hashes(w)), g=suffix_unit(w), times=n) for w, n in c.items()]
+                    for c in rare
+                ],
+            ]
+
+        return work
+
+    return start
+
+
+def encode(docs: DataFrame, corpus: Corpus) -> DataFrame:
+    """``_row``: the columns of ``docs`` but text; ``_at``: a number per row; PARTS. Written to the shared folder."""
+    # Plain values: a broadcast is read where this package may be absent.
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(corpus).values()))
+    held = [c for c in docs.columns if c != "text"]
+    own = F.struct(*(F.col(f"`{c}`") for c in held)) if held else F.struct(F.lit(None).alias("none"))
+    rows = docs.select(own.alias("_row"), F.monotonically_increasing_id().alias("_at"), "text")
+    coded = add_columns(rows, _coder(sent), PARTS, keep=["_row", "_at"], limit=1 << 21)
+    return kept(coded, "units", "zstd")
+
+
+def contexts(units: np.ndarray, lengths: np.ndarray, none: int) -> np.ndarray:
+    """The CONTEXT units before each; ``none`` before the first."""
+    at = np.arange(len(units)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out = np.full((CONTEXT, len(units)), none, np.int32)
+    for k in range(1, CONTEXT + 1):
+        out[k - 1, k:] = units[:-k]
+        out[k - 1, at < k] = none
+    return out
 
 
 @dataclass
 class Parameters:
-    """Vectors of context classes, of predicted classes with their biases, weights of the two places."""
+    """Vectors of context units (and of none), of units and classes with biases, weights of the places.
+
+    Beside each table, the sum of squared slopes of its rows, for the size of the next step.
+    """
 
     context: np.ndarray
-    target: np.ndarray
-    bias: np.ndarray
+    unit: np.ndarray
+    of_class: np.ndarray
     place: np.ndarray
 
     @classmethod
     def fresh(cls, corpus: Corpus, seed: int = 3) -> Parameters:
+        """Rows are the vector, its bias, and the sums of squares of both."""
         rng = np.random.default_rng(seed)
-        n = corpus.n_classes
-        share = (corpus.mass + 0.5) / (corpus.mass + 0.5).sum()
+        class_mass = np.add.reduceat(corpus.mass, corpus.first[:-1])
+
+        def table(n: int, scale: float, bias) -> np.ndarray:
+            rows = np.full((n, DIMENSIONS + 3), 1e-2, np.float32)
+            rows[:, :DIMENSIONS] = rng.normal(0, scale, (n, DIMENSIONS))
+            rows[:, DIMENSIONS] = bias
+            return rows
+
+        places = table(CONTEXT, 0, 0)
+        places[:, :DIMENSIONS] = 1 / np.arange(1, CONTEXT + 1)[:, None]
         return cls(
-            rng.normal(0, 0.3, (n + 1, DIMENSIONS)),
-            rng.normal(0, 0.3, (n, DIMENSIONS)),
-            np.log(share),
-            np.ones((2, DIMENSIONS)) * np.array([[0.7], [0.5]]),
+            table(corpus.n_units + 1, 0.3, 0),
+            table(corpus.n_units, 0.1, np.log(corpus.mass / class_mass[corpus.class_of()])),
+            table(corpus.n_classes, 0.1, np.log(class_mass / class_mass.sum())),
+            places,
         )
 
-    def rows(self) -> np.ndarray:
-        """All parameters as rows of DIMENSIONS + 1 numbers."""
-        wide = np.zeros((len(self.context) + len(self.target) + 2, DIMENSIONS + 1))
-        wide[: len(self.context), :-1] = self.context
-        wide[len(self.context) : -2, :-1] = self.target
-        wide[len(self.context) : -2, -1] = self.bias
-        wide[-2:, :-1] = self.place
-        return wide
-
-    @classmethod
-    def of_rows(cls, rows: np.ndarray) -> Parameters:
-        n = (len(rows) - 3) // 2
-        return cls(rows[: n + 1, :-1], rows[n + 1 : -2, :-1], rows[n + 1 : -2, -1], rows[-2:, :-1])
+    def tables(self) -> list[np.ndarray]:
+        return [self.context, self.unit, self.of_class, self.place]
 
 
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad steps."""
-
-    def __init__(self, corpus: Corpus, seed: int = 5):
-        self.p = Parameters.fresh(corpus)
-        for name in ("context", "target", "bias", "place"):
-            setattr(self.p, name, getattr(self.p, name).astype(np.float32))
-        share = (corpus.mass + 0.5) / (corpus.mass + 0.5).sum()
-        self.noise = np.cumsum(share)
-        self.log_noise = np.log(NOISE * share).astype(np.float32)
+    """Noise-contrastive estimation with AdaGrad steps, one rate for each vector."""
+
+    def __init__(self, corpus: Corpus, start: Parameters, seed: int):
+        self.p = Parameters(*(t.copy() for t in start.tables()))
+        self.touched = [np.zeros(len(t), bool) for t in start.tables()]
+        self.class_of, self.first = corpus.class_of(), corpus.first
+        mass = np.add.reduceat(corpus.mass, corpus.first[:-1])
+        self.class_mass = mass
+        self.class_places = np.cumsum(mass / mass.sum())
+        self.unit_places = np.cumsum(corpus.mass)
+        self.class_low = np.concatenate(([0.0], self.unit_places))[corpus.first[:-1]]
+        self.log_class_noise = np.log(CLASS_NOISE * mass / mass.sum()).astype(np.float32)
+        self.log_unit_noise = np.log(UNIT_NOISE * corpus.mass / mass[self.class_of]).astype(np.float32)
         self.rng = np.random.default_rng(seed)
-        self.squares = [np.full_like(x, 1e-2) for x in (self.p.context, self.p.target, self.p.bias, self.p.place)]
-        self.seen = 0
 
-    def learn(self, text: Sequence) -> None:
-        self.seen += len(text.classes)
-        order = self.rng.permutation(len(text.classes))
+    def learn(self, units: np.ndarray, lengths: np.ndarray) -> None:
+        before = contexts(units, lengths, len(self.p.unit))
+        order = self.rng.permutation(len(units))
         for at in range(0, len(order), BATCH):
             i = order[at : at + BATCH]
-            self._step(text.classes[i], text.before1[i], text.before2[i])
-
-    def _step(self, word, one, two) -> None:
-        p = self.p
-        drawn = np.searchsorted(self.noise, self.rng.random(NOISE)).clip(max=len(self.noise) - 1)
-        r1, r2 = p.context[one], p.context[two]
-        hidden = r1 * p.place[0] + r2 * p.place[1]
-        target, noise = p.target[word], p.target[drawn]
-        real = np.einsum("ij,ij->i", hidden, target) + p.bias[word] - self.log_noise[word]
-        false = hidden @ noise.T + (p.bias[drawn] - self.log_noise[drawn])
-        # Slopes of the log likelihood: 1 - s for what was seen, -s for noise.
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        back = up[:, None] * target + down @ noise
-        scale = np.float32(1 / len(word))
-        self._add(0, p.context, np.concatenate([one, two]), np.concatenate([back * p.place[0], back * p.place[1]]), scale)
-        self._add(1, p.target, np.concatenate([word, drawn]), np.concatenate([up[:, None] * hidden, down.T @ hidden]), scale)
-        self._add(2, p.bias, np.concatenate([word, drawn]), np.concatenate([up, down.sum(axis=0)]), scale)
-        slope = np.stack([(back * r1).sum(axis=0), (back * r2).sum(axis=0)]) * scale
-        self.squares[3] += slope * slope
-        p.place += RATE * slope / np.sqrt(self.squares[3])
-
-    def _add(self, k, values, at, slopes, scale) -> None:
-        width = values.shape[1] if values.ndim > 1 else 1
-        flat = (at[:, None] * width + np.arange(width)).ravel() if width > 1 else at
-        slope = np.bincount(flat, weights=slopes.ravel(), minlength=values.size).reshape(values.shape) * scale
-        self.squares[k] += slope * slope
-        values += (RATE * slope / np.sqrt(self.squares[k])).astype(np.float32)
-
-
-def train(texts: DataFrame, corpus: Corpus) -> Parameters:
-    """Parameters averaged over the tasks, each of which learns from all its texts."""
-    # Plain values: a broadcast is read where this package may be absent.
-    sent = texts.sparkSession.sparkContext.broadcast(tuple(vars(corpus).values()))
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus = Corpus(*sent.value)
-        trainer = Trainer(corpus)
-        for batch in chunks(batches, "text", 1 << 21):
-            trainer.learn(Sequence(batch.column("text").to_pylist(), corpus))
-        if trainer.seen:
-            rows = trainer.p.rows() * trainer.seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows))), pa.array(np.full(len(rows), trainer.seen)), pa.array(list(rows))],
-                ["row", "weight", "x"],
-            )
-
-    parts = texts.select("text").mapInArrow(learn, "row long, weight long, x array<double>")
-    sums = parts.groupBy("row").agg(
-        F.sum("weight").alias("weight"), *(F.sum(F.col("x")[i]).alias(f"x{i}") for i in range(DIMENSIONS + 1))
-    )
-    found = sorted(sums.collect())
-    if not found:
-        return Parameters.fresh(corpus)
-    return Parameters.of_rows(np.array([r[2:] for r in found]) / np.array([[r["weight"]] for r in found]))
-
-
-class Scorer:
-    """Normalised log10 probabilities of classes; remembers the sum of each context met."""
-
-    def __init__(self, p: Parameters):
-        self.p = Parameters(*(x.astype(np.float32) for x in (p.context, p.target, p.bias, p.place)))
-        self.sums = np.full((len(p.context), len(p.context)), np.nan, np.float32)
-
-    def _hidden(self, one, two) -> np.ndarray:
-        p = self.p
-        return p.context[one] * p.place[0] + p.context[two] * p.place[1]
-
-    def class_logs(self, text: Sequence) -> np.ndarray:
-        p, one, two = self.p, text.before1, text.before2
-        new = np.flatnonzero(np.isnan(self.sums[one, two]))
-        if len(new):
-            n = len(p.context)
-            pairs = np.unique(one[new].astype(np.int64) * n + two[new])
-            for at in range(0, len(pairs), BATCH):
-                a, b = pairs[at : at + BATCH] // n, pairs[at : at + BATCH] % n
-                scores = self._hidden(a, b) @ p.target.T + p.bias
-                top = scores.max(axis=1)
-                scores -= top[:, None]
-                self.sums[a, b] = top + np.log(np.exp(scores, out=scores).sum(axis=1))
-        score = np.einsum("ij,ij->i", self._hidden(one, two), p.target[text.classes]) + p.bias[text.classes]
-        return (score - self.sums[one, two]).astype(np.float64) / math.log(10)
-
-
-PARTS = (
-    "n_tokens long, n_known long, base double, lm double, "
-    "rare array<struct<h: long, g: int, times: long>>"
-)
-
-
-def _worker(sent) -> Callable[[], Worker]:
-    def start() -> Worker:
-        corpus, parameters = Corpus(*sent.value[0]), Parameters(*sent.value[1])
-        scorer = Scorer(parameters)
-        base = np.append(corpus.base_logs(corpus.counts), 0.0)  # the last one stands for rare words
-        share = np.zeros(len(base))
-        inside = corpus.classes >= WORD_CLASSES
-        share[:-1][inside] = np.log10(
-            (corpus.counts[inside] + 0.5) / corpus.below[corpus.classes[inside] - WORD_CLASSES]
+            self._step(units[i], before[:, i])
+
+    def _step(self, unit: np.ndarray, before: np.ndarray) -> None:
+        p, d = self.p, DIMENSIONS
+        own = self.class_of[unit]
+        seen = p.context[before, :d]
+        hidden = (seen * p.place[:, None, :d]).sum(axis=0)
+
+        drawn = np.searchsorted(self.class_places, self.rng.random(CLASS_NOISE)).clip(max=len(p.of_class) - 1)
+        target, noise = p.of_class[own], p.of_class[drawn]
+        real = (hidden * target[:, :d]).sum(axis=1) + target[:, d] - self.log_class_noise[own]
+        false = hidden @ noise[:, :d].T + (noise[:, d] - self.log_class_noise[drawn])
+        up, down = _slope_up(real), _slope_down(false)
+        back = up[:, None] * target[:, :d] + down @ noise[:, :d]
+        self._add(2, np.concatenate([own, drawn]), np.concatenate([up[:, None] * hidden, down.T @ hidden]), np.concatenate([up, down.sum(axis=0)]))
+
+        u = self.rng.random((UNIT_NOISE, len(unit)))
+        other = np.searchsorted(self.unit_places, self.class_low[own] + u * self.class_mass[own])
+        other = np.minimum(np.maximum(other, self.first[own]), self.first[own + 1] - 1)
+        target, noise = p.unit[unit], p.unit[other]
+        alone = self.first[own + 1] - self.first[own] == 1
+        up = _slope_up((hidden * target[:, :d]).sum(axis=1) + target[:, d] - self.log_unit_noise[unit])
+        down = _slope_down((hidden[None] * noise[..., :d]).sum(axis=2) + noise[..., d] - self.log_unit_noise[other])
+        up[alone], down[:, alone] = 0, 0
+        back += up[:, None] * target[:, :d] + (down[..., None] * noise[..., :d]).sum(axis=0)
+        self._add(
+            1,
+            np.concatenate([unit, other.ravel()]),
+            np.concatenate([up[:, None] * hidden, (down[..., None] * hidden[None]).reshape(-1, d)]),
+            np.concatenate([up, down.ravel()]),
         )
+        self._add(0, before.ravel(), (back[None] * p.place[:, None, :d]).reshape(-1, d), np.zeros(before.size, np.float32))
+        self._add(3, np.arange(CONTEXT), (back[None] * seen).sum(axis=1), np.zeros(CONTEXT, np.float32))
+
+    def _add(self, k: int, rows: np.ndarray, slopes: np.ndarray, biases: np.ndarray) -> None:
+        """One step for each row, along the sum of its slopes."""
+        d, table = DIMENSIONS, self.p.tables()[k]
+        order = np.argsort(rows, kind="stable")
+        ordered = rows[order]
+        begins = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        at = ordered[begins]
+        slope = np.add.reduceat(slopes[order], begins, axis=0) * np.float32(STEP)
+        bias = np.add.reduceat(biases[order], begins) * np.float32(STEP)
+        held = table[at]
+        held[:, d + 1] += (slope * slope).mean(axis=1)
+        held[:, d + 2] += bias * bias
+        held[:, :d] += RATE * slope / np.sqrt(held[:, d + 1])[:, None]
+        held[:, d] += RATE * bias / np.sqrt(held[:, d + 2])
+        table[at] = held
+        self.touched[k][at] = True
+
+
+def _slope_up(real: np.ndarray) -> np.ndarray:
+    """Slope of the log likelihood of what was seen."""
+    return (1 / (1 + np.exp(np.clip(real, -30, 30)))).astype(np.float32)
+
+
+def _slope_down(false: np.ndarray) -> np.ndarray:
+    """Slope of that of noise."""
+    return (-1 / (1 + np.exp(-np.clip(false, -30, 30)))).astype(np.float32)
+
+
+VALUES = [f"x{i}" for i in range(DIMENSIONS + 3)]
+
+
+def _learner(sent_corpus, sent) -> Callable:
+    """Trains on a slice from the parameters sent; gives what it changed, by row."""
+
+    def learn(key, held):
+        start = Parameters(*sent.value)
+        trainer = Trainer(Corpus(*sent_corpus.value), start, key[0].as_py())
+        raw = held.column("units").to_pylist()
+        units = np.frombuffer(b"".join(raw), "<i4")
+        # Not in the order in which rows happen to come: a batch is drawn from all of the slice.
+        trainer.learn(units, np.array([len(r) // 4 for r in raw]))
+        kinds, rows, changes = [], [], []
+        for kind, (table, before, touched) in enumerate(zip(trainer.p.tables(), start.tables(), trainer.touched)):
+            at = np.flatnonzero(touched)
+            kinds.append(np.full(len(at), kind, np.int32))
+            rows.append(at.astype(np.int32))
+            changes.append(table[at] - before[at])
+        change = np.concatenate(changes)
+        columns = [np.concatenate(kinds), np.concatenate(rows), *(np.ascontiguousarray(change[:, i]) for i in range(len(VALUES)))]
+        return pa.table(dict(zip(["kind", "row", *VALUES], columns)))
+
+    return learn
+
+
+def train(coded: DataFrame, corpus: Corpus) -> Parameters:
+    """Parameters from all rows of ``coded`` (see `encode`), round by round."""
+    context = coded.sparkSession.sparkContext
+    n_slices = ROUNDS * max(1, math.ceil(corpus.n / SLICE_TOKENS / ROUNDS))
+    dealt = coded.select("units", F.pmod(F.xxhash64("_at"), F.lit(n_slices)).alias("slice"))
+    parameters = Parameters.fresh(corpus)
+    schema = "kind int, row int, " + ", ".join(f"{x} float" for x in VALUES)
+    sent_corpus = context.broadcast(tuple(vars(corpus).values()))
+    for number in range(ROUNDS):
+        sent = context.broadcast(tuple(parameters.tables()))
+
+        mine = dealt.where(F.pmod("slice", F.lit(ROUNDS)) == number)
+        changed = mine.groupBy("slice").applyInArrow(_learner(sent_corpus, sent), schema).groupBy("kind", "row")
+        # As many rows as there are vectors.
+        mean = changed.agg(*(F.avg(x).cast("float").alias(x) for x in VALUES)).toArrow()
+        kind, row = mean.column("kind").to_numpy(), mean.column("row").to_numpy()
+        change = np.stack([mean.column(x).to_numpy() for x in VALUES], axis=1)
+        for k, table in enumerate(parameters.tables()):
+            table[row[kind == k]] += change[kind == k]
+        sent.unpersist()
+    return parameters
 
-        def work(texts: list) -> list:
-            text = Sequence(texts, corpus)
-            logs = scorer.class_logs(text) + share[text.number]
-            rare: list[Counter] = [Counter() for _ in texts]
-            for owner, word in zip(text.rare_owner.tolist(), text.rare_words):
-                rare[owner][word] += 1
-            return [
-                pa.array(text.lengths.astype(np.int64)),
-                pa.array(np.add.reduceat((text.number >= 0).astype(np.int64), text.starts)),
-                pa.array(np.add.reduceat(base[text.number], text.starts)),
-                pa.array(np.add.reduceat(logs, text.starts)),
-                [[{"h": word_hash(w), "g": suffix_class(w), "times": n} for w, n in c.items()] for c in rare],
-            ]
 
-        return work
-
-    return start
-
-
-def score(docs: DataFrame, counts: DataFrame, corpus: Corpus, parameters: Parameters) -> DataFrame:
-    """The columns of ``docs`` but text, with n_tokens, n_known, base_score and score."""
-    held = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "base_score", "score")]
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (tuple(vars(corpus).values()), tuple(vars(parameters).values()))
-    )
-    rows = docs.select(F.struct(*held).alias("_row"), F.monotonically_increasing_id().alias("_at"), "text")
-    parts = kept(add_columns(rows, _worker(sent), PARTS, keep=["_row", "_at"], limit=1 << 21), "scored")
-
-    rare = parts.select("_at", F.explode("rare").alias("r")).select("_at", "r.h", "r.g", "r.times")
-    seen = counts.select(F.xxhash64("word").alias("h"), "c").groupBy("h").agg(F.max("c").alias("c"))
+class Scorer:
+    """Normalised natural log probabilities of units."""
+
+    ROWS = 8192
+
+    def __init__(self, corpus: Corpus, p: Parameters):
+        d = DIMENSIONS
+        self.context, self.place = np.ascontiguousarray(p.context[:, :d]), p.place[:, :d]
+        self.classes, self.class_bias = np.ascontiguousarray(p.of_class[:, :d].T), p.of_class[:, d].copy()
+        self.units, self.unit_bias = np.ascontiguousarray(p.unit[:, :d].T), p.unit[:, d].copy()
+        self.class_of, self.first = corpus.class_of(), corpus.first
+        self.none = corpus.n_units
+
+    def logs(self, units: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Of each unit after those ``before`` it."""
+        own = self.class_of[units]
+        hidden = self.context[before[0]] * self.place[0]
+        for k in range(1, len(before)):
+            hidden += self.context[before[k]] * self.place[k]
+        out = np.empty(len(units), np.float32)
+        for at in range(0, len(units), self.ROWS):
+            part = slice(at, at + self.ROWS)
+            out[part] = _log_share(hidden[part] @ self.classes + self.class_bias, own[part])
+        # Tokens class by class, so that each meets the units of its class in one product.
+        order = np.argsort(own, kind="stable")
+        ends = np.searchsorted(own[order], np.arange(len(self.first)))
+        for c in np.flatnonzero(np.diff(ends)):
+            low, high = self.first[c], self.first[c + 1]
+            if high - low == 1:
+                continue
+            for at in range(ends[c], ends[c + 1], self.ROWS):
+                i = order[at : min(at + self.ROWS, ends[c + 1])]
+                out[i] += _log_share(hidden[i] @ self.units[:, low:high] + self.unit_bias[low:high], units[i] - low)
+        return out
+
+
+def _log_share(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log of the share that the own column has of each row's sum of exponents."""
+    top = np.float32(scores.max(initial=0))
+    if top > 60:  # beyond what a float can hold
+        scores = scores - scores.max(axis=1, keepdims=True)
+    mine = scores[np.arange(len(own)), own]
+    return mine - np.log(np.exp(scores).sum(axis=1))
+
+
+def _scorer(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(Corpus(*sent.value[0]), Parameters(*sent.value[1]))
+        for batch in batches:
+            for part in chunks([batch], "units", 1 << 20):
+                raw = part.column("units").to_pylist()
+                units, lengths = np.frombuffer(b"".join(raw), "<i4"), np.array([len(r) // 4 for r in raw])
+                logs = scorer.logs(units, contexts(units, lengths, scorer.none)).astype(np.float64)
+                sums = np.add.reduceat(logs, np.cumsum(lengths) - lengths) / math.log(10)
+                yield pa.RecordBatch.from_arrays([part.column("_at"), pa.array(sums)], ["_at", "lm"])
+
+    return run
+
+
+def score(coded: DataFrame, counts: DataFrame, corpus: Corpus, parameters: Parameters) -> DataFrame:
+    """The columns of the rows behind ``coded`` with n_tokens, n_known, base_score and score."""
+    results = ("n_tokens", "n_known", "base_score", "score")
+    sent = coded.sparkSession.sparkContext.broadcast((tuple(vars(corpus).values()), tuple(parameters.tables())))
+    by_model = coded.select("_at", "units").mapInArrow(_scorer(sent), "_at long, lm double")
+
+    rare = coded.select("_at", F.explode("rare").alias("r")).select("_at", "r.*")
+    seen = counts.select(F.xxhash64("word").alias("h1"), F.xxhash64(F.lit("second"), "word").alias("h2"), "c")
     c = F.coalesce("c", F.lit(0))
     below = F.element_at(F.array(*(F.lit(float(x)) for x in corpus.below)), F.col("g") + 1)
     total = corpus.n + 0.5 * (corpus.v + 1)
-    rest = rare.join(seen, "h", "left").select(
+    rest = rare.join(seen, ["h1", "h2"], "left").select(
         "_at",
-        F.lit(None).cast(parts.schema["_row"].dataType).alias("_row"),
+        F.lit(None).cast(coded.schema["_row"].dataType).alias("_row"),
         F.lit(0).cast("long").alias("n_tokens"),
         F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("n_known"),
         (F.col("times") * F.log10((c + 0.5) / total)).alias("base"),
         (F.col("times") * F.log10((c + 0.5) / below)).alias("lm"),
     )
     columns = ["_at", "_row", "n_tokens", "n_known", "base", "lm"]
+    none = F.lit(0).cast("long")
+    model = by_model.select(
+        "_at", F.lit(None).cast(coded.schema["_row"].dataType).alias("_row"), none.alias("n_tokens"), none.alias("n_known"),
+        F.lit(0.0).alias("base"), "lm",
+    )
     summed = (
-        parts.select(*columns)
+        coded.withColumn("lm", F.col("share"))
+        .select(*columns)
+        .union(model)
         .union(rest.select(*columns))
         .groupBy("_at")
         .agg(
@@ -382,7 +532,8 @@ def score(docs: DataFrame, counts: DataFrame, corpus: Corpus, parameters: Parame
             F.sum("lm").alias("score"),
         )
     )
-    return summed.select(*(F.col("_row")[c].alias(c) for c in held), "n_tokens", "n_known", "base_score", "score")
+    held = [f for f in coded.schema["_row"].dataType.fieldNames() if f not in results]
+    return summed.select(*(F.col("_row")[f].alias(f) for f in held), *results)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -393,9 +544,9 @@ def digest(docs: DataFrame) -> DataFrame:
     training = docs.where(~held_out(F.col("doc_id"))).select("text")
     counts = kept(count_words(training), "word-counts")
     corpus = summarise_counts(counts)
-    parameters = train(training, corpus)
-    scored = score(docs.select("doc_id", "text"), counts, corpus, parameters)
-    return scored.select(
+    coded = encode(docs.select("doc_id", "text"), corpus)
+    parameters = train(coded.where(~held_out(F.col("_row.doc_id"))), corpus)
+    return score(coded, counts, corpus, parameters).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
