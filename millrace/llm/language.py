@@ -6,20 +6,24 @@ and a softmax give the languages. Both layers are trained on the driver in numpy
 gradient descent, on a bounded sample of labelled texts: at most ``sample`` different texts, shared
 out evenly among the languages (among the most frequent ``sample`` ones, if there are more), each as
 its counts per bucket (so at most BUCKETS numbers a text,
-however long). A fifth of the sample calibrates: a temperature (1 or more, so confidence is never
-sharpened) that makes the softmax's confidence honest, and two bounds below either of which a text
-is rejected. One is on the confidence. The other is on how usual the text's subwords are: the mean
-log of their share in the learned texts, all languages alike, over an even share; it means the same
-for any number of languages, also for one, whose confidence is always 1. Each bound is set so that
-RISK of the rightly labelled calibration texts would be lost; where those are too few to tell, it
-is at the least of them or TAIL deviations below their mean, whichever is lower.
+however long). A fifth of each language's sample calibrates: a temperature (1 or more, so confidence
+is never sharpened) that makes the softmax's confidence honest, and two bounds below either of which
+a text is rejected. One is on the confidence. The other is on how usual the text's subwords are: the
+mean log of their share in the learned texts, all languages alike, over an even share; it means the
+same for any number of languages, also for one, whose confidence is always 1. Both scatter more the
+shorter a text is, so the bounds go by the number of subwords: the calibrating texts are also cut to
+passages of WINDOWS words, and near each power of two of subwords each bound is set so that RISK of
+the rightly labelled texts and of the passages would be lost; where those are too few to tell, it is
+at the least of them or TAIL deviations below their mean, whichever is lower. Between powers of
+two, bounds are drawn straight; a text shorter than the shortest passages is not rejected.
 
 Since the mean and the layer are linear, prediction needs one number per bucket and language, and
 one for how usual the bucket is: every text, whole, is a sum of table rows.
 
 Defined cases: a text that is null or has no letter is `und` with score 0 and is rejected; with
 no labelled text at all every text is; one language alone gets score 1; rows with a null
-label are predicted and not learned from; repeated rows are predicted each and learned from once.
+label are predicted and not learned from; repeated rows are predicted each and learned from once; a
+column named like a result gives way to it, other columns pass through `identify` as they are.
 """
 
 from __future__ import annotations
@@ -53,6 +57,10 @@ EVEN = 0.01
 #: Byte positions worked on at once.
 STRIDE = 1 << 20
 UNKNOWN = "und"
+#: Words in the passages that calibrate the bounds for short texts.
+WINDOWS = (1, 2, 4, 8, 16, 32, 64)
+#: Every so many texts of a language calibrate.
+HELD = 5
 
 _BYTES = np.array(
     [c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)], np.uint8
@@ -116,17 +124,36 @@ def bucket_counts(texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
     ]
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """What is accepted at least, by the logarithm of the number of subwords."""
+
+    sizes: np.ndarray
+    odds: np.ndarray  # of the confidence
+    usual: np.ndarray
+    shorter: bool  # whether texts below the least size have its bounds, or none
+
+    def below(self, confidence: np.ndarray, usual: np.ndarray, n: np.ndarray) -> np.ndarray:
+        if not len(self.sizes):
+            return np.zeros(len(n), bool)
+        at = np.log2(np.maximum(n, 1))
+
+        def bound(values: np.ndarray) -> np.ndarray:
+            return np.interp(at, self.sizes, values, left=values[0] if self.shorter else -np.inf)
+
+        return (_odds(confidence) < bound(self.odds)) | (usual < bound(self.usual))
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
     table: np.ndarray  # (BUCKETS + 1, languages + 1): embeddings times layer, how usual; the last row is none
     bias: np.ndarray
     temperature: float
-    threshold: float
-    least_usual: float
+    bounds: Bounds
 
-    def logits(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """Logits of each text, and how usual its subwords are."""
+    def logits(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits of each text, how usual its subwords are, and their number."""
         total = np.zeros((len(texts), self.table.shape[1]))
         n = np.zeros(len(texts))
         for owners, starts, orders in _blocks(texts):
@@ -134,7 +161,7 @@ class LanguageModel:
                 total[owners] += np.add.reduceat(self.table[buckets], starts, axis=0)
                 n[owners] += np.add.reduceat((buckets != BUCKETS).astype(np.int32), starts)
         mean = total / np.maximum(n, 1)[:, None]
-        return mean[:, :-1] + self.bias, mean[:, -1]
+        return mean[:, :-1] + self.bias, mean[:, -1], n
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -142,8 +169,13 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> LanguageModel | None:
-    """Fit on (label, buckets, counts) per text; every fifth text calibrates."""
+Row = tuple[str, np.ndarray, np.ndarray]
+
+
+def train(
+    rows: list[Row], held: np.ndarray | None = None, windows: list[Row] | None = None, seed: int = 7
+) -> LanguageModel | None:
+    """Fit on (label, buckets, counts) per text; the ``held`` ones, by default every fifth, and passages calibrate."""
     languages = tuple(sorted({label for label, _, _ in rows}))
     if not languages:
         return None
@@ -153,7 +185,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Lang
     bias = np.zeros(len(languages), np.float32)
     number = {name: i for i, name in enumerate(languages)}
     labels = np.array([number[label] for label, _, _ in rows])
-    held = np.arange(len(rows)) % 5 == 4
+    held = np.arange(len(rows)) % HELD == HELD - 1 if held is None else held
     learned = np.flatnonzero(~held)
     once = max(1, -(-len(learned) // BATCH))
     epochs = max(EPOCHS, -(-LEAST_STEPS // once))
@@ -179,10 +211,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Lang
             step += 1
     usual = _usual([rows[i] for i in learned], labels[learned])
     table = np.vstack([np.column_stack([embedding @ layer, usual]), np.zeros((1, len(languages) + 1))]).astype(np.float32)
-    means = np.array(
-        [(table[b] * (c / max(1, c.sum()))[:, None]).sum(axis=0) for _, b, c in (rows[i] for i in np.flatnonzero(held))]
-    ).reshape(-1, len(languages) + 1)
-    return LanguageModel(languages, table, bias, *_calibrate(means[:, :-1] + bias, means[:, -1], labels[held]))
+    return LanguageModel(
+        languages, table, bias, *_calibrate(table, bias, [rows[i] for i in np.flatnonzero(held)], windows or [], number)
+    )
 
 
 def _usual(rows: list[tuple[str, np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
@@ -194,23 +225,47 @@ def _usual(rows: list[tuple[str, np.ndarray, np.ndarray]], labels: np.ndarray) -
     return np.log(EVEN + (1 - EVEN) * BUCKETS * share / max(share.sum(), 1e-12))
 
 
-def _calibrate(logits: np.ndarray, usual: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
-    """Temperature of least loss; the confidence, and how usual a text is, below which it is rejected."""
-    if not len(labels):
-        return 1.0, 0.0, -np.inf
+def _odds(confidence: np.ndarray) -> np.ndarray:
+    confidence = np.clip(confidence.astype(float), 1e-12, 1 - 1e-12)
+    return np.log(confidence / (1 - confidence))
+
+
+def _calibrate(
+    table: np.ndarray, bias: np.ndarray, texts: list[Row], windows: list[Row], number: dict[str, int]
+) -> tuple[float, Bounds]:
+    """Temperature of least loss over the texts; bounds by length over texts and passages."""
+    none = np.zeros(0)
+    if not texts:
+        return 1.0, Bounds(none, none, none, False)
+
+    def means(rows: list[Row]) -> np.ndarray:
+        found = [(table[b] * (c / max(1, c.sum()))[:, None]).sum(axis=0) for _, b, c in rows]
+        return np.array(found).reshape(-1, table.shape[1])
+
+    of_texts = means(texts)
+    labels = np.array([number[label] for label, _, _ in texts])
     at = np.arange(len(labels))
+    logits = of_texts[:, :-1] + bias
 
     def loss(temperature: float) -> float:
         return -np.log(np.maximum(softmax(logits / temperature)[at, labels], 1e-12)).mean()
 
-    temperature = min(np.geomspace(1, 20, 61), key=loss)
-    sure = softmax(logits / temperature)
-    right = sure.argmax(axis=1) == labels
-    if not right.any():
-        return float(temperature), 0.0, -np.inf
-    confidence = np.minimum(sure.max(axis=1)[right].astype(float), 1 - 1e-12)
-    odds = _lower_bound(np.log(confidence / (1 - confidence)))
-    return float(temperature), float(1 / (1 + np.exp(-odds))), _lower_bound(usual[right])
+    temperature = float(min(np.geomspace(1, 20, 61), key=loss))
+    right = logits.argmax(axis=1) == labels
+    every = np.concatenate([of_texts[right], means(windows)])
+    sizes = np.array([c.sum() for _, _, c in (*(t for t, ok in zip(texts, right) if ok), *windows)], float)
+    if not len(every):
+        return temperature, Bounds(none, none, none, False)
+    odds = _odds(softmax((every[:, :-1] + bias) / temperature).max(axis=1))
+    usual, size = every[:, -1], np.log2(np.maximum(sizes, 1))
+    bounds = []
+    for k in range(2, int(size.max()) + 2):
+        near = np.abs(size - k) <= 0.75
+        if near.sum() >= 30:
+            bounds.append((float(k), _lower_bound(odds[near]), _lower_bound(usual[near])))
+    if not bounds:  # too few to tell lengths apart
+        bounds = [(0.0, _lower_bound(odds), _lower_bound(usual))]
+    return temperature, Bounds(*map(np.array, zip(*bounds)), not windows)
 
 
 def _lower_bound(values: np.ndarray) -> float:
@@ -247,9 +302,25 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
 
         return work
 
-    features = add_columns(picked, start, "buckets binary, counts binary", keep=["lang", "place", "hash"])
-    found = sorted(features.collect(), key=lambda r: (r["place"], r["lang"], r["hash"]))
-    return train([(r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in found])
+    keep = ["lang", "place", "hash", "part"]
+    parts = picked.select("lang", "place", "hash", (F.col("rank") % HELD == 0).alias("held"), "text")
+    words = F.split(F.trim("text"), r"\s+")
+    # Passages of the texts that calibrate; where one begins goes by the hash of its text.
+    passages = [
+        F.when(
+            F.size(words) > n,
+            F.array_join(F.slice(words, (F.pmod("hash", F.size(words) - n) + 1).cast("int"), F.lit(n)), " "),
+        )
+        for n in WINDOWS
+    ]
+    cut = F.when(F.col("held"), F.array(F.col("text"), *passages)).otherwise(F.array("text"))
+    parts = parts.select("lang", "place", "hash", "held", F.posexplode(cut).alias("part", "text")).where("text is not null")
+    features = add_columns(parts, start, "buckets binary, counts binary", keep=[*keep, "held"])
+    found = sorted(features.collect(), key=lambda r: (r["place"], r["lang"], r["hash"], r["part"]))
+    numbers = [(r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in found]
+    whole = [i for i, r in enumerate(found) if r["part"] == 0]
+    windows = [numbers[i] for i, r in enumerate(found) if r["part"] > 0 and len(numbers[i][2])]
+    return train([numbers[i] for i in whole], np.array([found[i]["held"] for i in whole], bool), windows)
 
 
 def _worker(model: LanguageModel | None) -> Callable[[], Worker]:
@@ -257,11 +328,11 @@ def _worker(model: LanguageModel | None) -> Callable[[], Worker]:
         def work(texts: list) -> list:
             if model is None:
                 return [[UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)]
-            logits, usual = model.logits(texts)
+            logits, usual, n = model.logits(texts)
             sure = softmax(logits / model.temperature)
             best = sure.argmax(axis=1)
             score = sure[np.arange(len(texts)), best]
-            low = (score < model.threshold) | (usual < model.least_usual)
+            low = model.bounds.below(score, usual, n)
             return [[model.languages[i] for i in best], pa.array(score), pa.array(low)]
 
         return work
@@ -271,14 +342,21 @@ def _worker(model: LanguageModel | None) -> Callable[[], Worker]:
 
 def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) with lang_pred, score and rejected."""
-    keep = docs.columns if keep is None else keep
-    marked = docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found = add_columns(marked, _worker(model), "lang_pred string, score double, _low boolean", keep=[*keep, "_letters"])
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score", "rejected")]
+    # The caller's columns in one, so that none meets a name used here; the text goes beside it.
+    own = [F.col(f"`{c}`") for c in keep if c != "text"]
+    marked = docs.select(
+        F.struct(*own).alias("row") if own else F.lit(0).alias("row"),
+        "text",
+        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+    )
+    held = ["row", "letters", *(["text"] if "text" in keep else [])]
+    found = add_columns(marked, _worker(model), "best string, sure double, low boolean", keep=held)
     return found.select(
-        *[c for c in found.columns if c in keep and c not in ("lang_pred", "score", "rejected")],
-        F.when(F.col("_letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"),
-        (~F.col("_letters") | F.col("_low")).alias("rejected"),
+        *(F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep),
+        F.when(F.col("letters"), F.col("best")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col("letters"), F.col("sure")).otherwise(0.0).alias("score"),
+        (~F.col("letters") | F.col("low")).alias("rejected"),
     )
 
 

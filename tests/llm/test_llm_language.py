@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from corpus_rows import SCHEMA, awkward_texts, frame
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def test_unlearned_languages_and_junk_are_rejected(languages):
 
 def test_sample_is_bounded_with_copies_and_many_labels(spark, monkeypatch):
     taken = []
-    monkeypatch.setattr(language, "train", taken.append)
+    monkeypatch.setattr(language, "train", lambda rows, held, windows: taken.append(rows))
     copies = [("the same text in very many rows", "en")] * 500
     texts = [(f"text {chr(97 + i // 26)}{chr(97 + i % 26)} alone", "en") for i in range(40)]
     language.learn(spark.createDataFrame(copies + texts, "text string, lang string").repartition(4), 41)
@@ -86,3 +87,51 @@ def test_sample_is_bounded_with_copies_and_many_labels(spark, monkeypatch):
     for sample, labels in ((60, 50), (30, 30)):
         language.learn(spark.createDataFrame(many, "text string, lang string"), sample)
         assert len(taken[-1]) <= sample and len({label for label, _, _ in taken[-1]}) == labels
+
+
+def plain(text, model):
+    """The prediction from the definition, one subword after the other."""
+    data = [32] + [c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in text.encode()] + [32] * 6
+    total, n = np.zeros(model.table.shape[1]), 0
+    for order in language.ORDERS:
+        for i in range(len(text.encode()) + 1):
+            part = data[i : i + order]
+            if (order == 2 and part == [32, 32]) or 32 in part[1:-1]:
+                continue
+            value = order
+            for c in part:
+                value = (value ^ c) * 16777619 % 2**32
+            value = (value ^ value >> 15) * 2246822519 % 2**32
+            total += model.table[value >> 17]
+            n += 1
+    logits = total[:-1] / max(1, n) + model.bias
+    sure = np.exp(logits / model.temperature - (logits / model.temperature).max())
+    best = int(logits.argmax())
+    return model.languages[best], float(sure[best] / sure.sum())
+
+
+def test_predictions_equal_a_plain_loop(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("n_chars < 2000")
+    model = language.learn(docs)
+    rows = [r for r in awkward_texts(6) if len(r[1] or "") < 6000] + [(5000 + r.doc_id, r.text) for r in docs.collect()]
+    for r in language.identify(frame(spark, rows), model).collect():
+        if any(c.isalpha() for c in r.text or ""):
+            name, score = plain(r.text, model)
+            assert (r.lang_pred, round(r.score, 4)) == (name, round(score, 4))
+
+
+def test_short_clean_texts_are_kept_and_other_languages_rejected(spark, sf_dir):
+    docs = table(spark, sf_dir.replace("sf0.001", "sf0.1"), "documents").where("lang is not null and n_chars between 200 and 4000")
+    learned, rest = docs.where(~language.held_out(F.col("doc_id"))), docs.where(language.held_out(F.col("doc_id")))
+    words = F.split("text", r"\s+")
+    model = language.learn(learned)
+    for n in (2, 3, 6, 12, 25):
+        start = (F.pmod(F.xxhash64("text", F.lit(n)), F.size(words) - n) + 1).cast("int")
+        cut = rest.where(F.size(words) > n).select(F.array_join(F.slice(words, start, F.lit(n)), " ").alias("text"))
+        clean = cut.where(F.length("text") >= 10).where(F.length(F.regexp_replace("text", r"[^\p{L} ]", "")) >= 0.8 * F.length("text"))
+        [r] = language.identify(clean, model).agg(F.avg(F.col("rejected").cast("int")).alias("share"), F.count("*").alias("n")).collect()
+        assert r["n"] > 500 and r["share"] < 0.01, n
+    model = language.learn(learned.where("lang = 'en'"))
+    found = language.identify(rest.select("text", "lang"), model).groupBy((F.col("lang") == "en").alias("en"))
+    share = {r["en"]: r["share"] for r in found.agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
+    assert share[True] < 0.01 and share[False] > 0.95
