@@ -14,8 +14,8 @@
    the run, by minhashes, in tiles of two blocks: whatever stands between two documents of a
    run, they are compared. A family then holds whatever may be near, so what is left is to
    compare inside families, exactly and on full sets.
-5. Families of up to BLOCK sets are compared whole, several in a task. Larger ones are cut
-   into blocks; each block is compared whole and with the family's first document. Then
+5. Families of up to BLOCK sets and BLOCK_SHINGLES shingles are compared whole, several in a task.
+   Larger ones are cut into blocks; each is compared whole and with the family's first document. Then
    every document outside the largest class found so far is compared with all others of its
    family, in tiles of two blocks. Tasks return a forest of the links they find, never pairs.
 
@@ -37,7 +37,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,8 @@ N_HASHES = 2 * SIDE * PER_KEY
 #: Share of equal minhashes from which a link counts for families; well below the threshold.
 FAMILY_SHARE = 0.5
 BLOCK = 96
+#: Shingles of the documents of a block, near; a longer text is a block of its own.
+BLOCK_SHINGLES = 2_000_000
 #: Documents of a run in a block; they are held as N_HASHES bytes each.
 RUN_BLOCK = 2048
 #: Up to this size a run's links to the first and the previous one are all its pairs.
@@ -273,19 +275,24 @@ def _compare(words: int, percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]
     return run
 
 
+def _blocks(rows: Column, shingles: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
 def _confirmed(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Forest of all links inside families; ``texts`` has doc_id, family, rows, text."""
+    """Forest of all links inside families; ``texts`` has doc_id, family, blocks, text.
+
+    ``blocks``: into how many blocks the family is to be cut.
+    """
     links = "a long, b long"
     compare = _compare(words, percent)
-    small = texts.where(F.col("rows") <= BLOCK)
-    n_small = small.count()
-    packs = F.lit(max(1, math.ceil(2 * n_small / BLOCK)))
+    small = texts.where("blocks = 1")
+    held = small.agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).first()
+    packs = F.lit(max(1, math.ceil(2 * held["n"] / BLOCK), math.ceil(2 * (held["shingles"] or 0) / BLOCK_SHINGLES)))
     pack = small.select("doc_id", "text", F.col("family").alias("part"), F.pmod(F.xxhash64("family"), packs).alias("tile"))
     found = pack.groupBy("tile").applyInPandas(compare, links)
 
-    large = texts.where(F.col("rows") > BLOCK).withColumn(
-        "blocks", F.ceil(F.col("rows") / BLOCK).cast("int")
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    large = texts.where("blocks > 1").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # The family's first document comes to every block.
     leads = large.where(F.col("doc_id") == F.col("family")).withColumn(
         "block", F.explode(F.expr("filter(sequence(0, blocks - 1), i -> i <> block)"))
@@ -297,16 +304,22 @@ def _confirmed(texts: DataFrame, words: int, percent: int) -> DataFrame:
     )
     labels = components(within)
     classed = kept(
-        large.select("doc_id", "family", "rows").join(labels, F.col("doc_id") == F.col("node"), "left")
-        .select("doc_id", "family", F.coalesce("component", "doc_id").alias("class")),
+        large.select("doc_id", "family", "n_shingles").join(labels, F.col("doc_id") == F.col("node"), "left")
+        .select("doc_id", "family", "n_shingles", F.coalesce("component", "doc_id").alias("class")),
         "classes",
     )
-    sizes = classed.groupBy("family", "class").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("family").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("all"))
+    sizes = classed.groupBy("family", "class").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    largest = sizes.groupBy("family").agg(
+        F.max(F.struct("n", "class", "shingles")).alias("top"), F.sum("n").alias("all"), F.sum("shingles").alias("all_shingles")
+    )
     outside = (
         classed.join(largest, "family")
         .where(F.col("class") != F.col("top.class"))
-        .select("doc_id", "family", F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("out_blocks"))
+        .select(
+            "doc_id",
+            "family",
+            _blocks(F.col("all") - F.col("top.n"), F.col("all_shingles") - F.col("top.shingles")).alias("out_blocks"),
+        )
     )
     outside = kept(
         outside.withColumn("out_block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("out_blocks")).cast("int")), "outside"
@@ -335,11 +348,15 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     same_set = ["f1", "f2", "n_shingles"]
     # Written, so that the join may split a set that very many documents share.
     firsts = kept(full.groupBy(*same_set).agg(F.min("doc_id").alias("first")), "first-copies")
-    copies = kept(full.join(firsts, same_set).select("doc_id", "first", "hashes"), "copies")
+    copies = kept(full.join(firsts, same_set).select("doc_id", "first", "n_shingles", "hashes"), "copies")
     sets = copies.where("doc_id = first").select("doc_id", "hashes")
     families = _families(sets)
     families = kept(families.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
-    counted = families.join(families.groupBy("family").agg(F.count("*").alias("rows")), "family")
+    # An id with several sets has a row for each; the sum is large enough for all of them.
+    lengths = copies.where("doc_id = first").groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
+    families = families.join(lengths, "doc_id")
+    sizes = families.groupBy("family").agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("blocks"))
+    counted = families.join(sizes, "family")
     # Texts move to their families once, in the same way whatever the size.
     members = kept(texts.join(counted.hint("merge"), "doc_id"), "family-texts")
     confirmed = _confirmed(members, words, percent)

@@ -38,9 +38,10 @@ def near_copies(seed, base_words, copies, edits, first):
     return out
 
 
-@pytest.mark.parametrize("k", [2, 5])
-def test_classes_equal_brute_force(spark, k, monkeypatch):
+@pytest.mark.parametrize("k, shingles", [(2, 2_000_000), (5, 300)])
+def test_classes_equal_brute_force(spark, k, shingles, monkeypatch):
     monkeypatch.setattr(near_text, "BLOCK", 16)  # families of several blocks
+    monkeypatch.setattr(near_text, "BLOCK_SHINGLES", shingles)
     texts = awkward_texts(9) + near_copies(1, 120, 90, 9, 1000) + near_copies(2, 60, 12, 8, 2000)
     found = near_text.near_duplicates(frame(spark, texts, clashing=True), k).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == expected(texts, k)
