@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, language, lines, near_text, sentencepieces
-from millrace.llm.tables import kept, prepare, table
+from millrace.llm.tables import prepare, table
+from millrace.session import fresh_dir, scratch_scope
 
 
 def _apart(docs: DataFrame, *used: str) -> DataFrame:
@@ -87,7 +88,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What a stage has written on its way goes when it is done."""
     docs = table(prepare(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), name)
+        path = fresh_dir(spark, name)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
