@@ -21,7 +21,7 @@ from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans.runlog import ALTERED, StageClock, logged_failure, reload_log, run_log
 from millrace.plans.survivors import Fact, fold, merge_summaries, range_of_keys, write_states, write_survivors
-from millrace.session import fresh_dir
+from millrace.session import fresh_dir, scratch_scope
 from millrace.sources import versions
 from millrace.sources.readers import read_parquet
 from millrace.sources.schemas import CORRUPT_RECORD, RAW_ORDERS
@@ -354,7 +354,7 @@ def run(
     the log are aggregates over tables.
     """
     clock = StageClock()
-    with logged_failure(spark, "orders", clock, root):
+    with logged_failure(spark, "orders", clock, root), scratch_scope(spark):
         draft = Draft(spark, root)
         sources = {"orders_raw": raw, "products_raw": products, "customers_raw": customers}
         dimension_rows = at_once(
@@ -453,7 +453,7 @@ def reload(
     checked. Run again after a failure; a batch that was taken in before changes nothing.
     """
     clock = StageClock()
-    with logged_failure(spark, RELOAD, clock, root):
+    with logged_failure(spark, RELOAD, clock, root), scratch_scope(spark):
         draft = Draft(spark, root)
         live = draft.before
         if live is None or "survivor_width" not in live.facts:

@@ -19,7 +19,7 @@ from millrace.operators.rules import ALL_ROWS, Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans.runlog import ALTERED, StageClock, logged_failure, reload_log, run_log
 from millrace.plans.survivors import Fact, merge_summaries, write_states
-from millrace.session import fresh_dir
+from millrace.session import fresh_dir, scratch_scope
 from millrace.sources import ledger as ledgers
 from millrace.sources import versions
 from millrace.sources.readers import read_parquet
@@ -352,7 +352,7 @@ def run(
     As for orders, what was live before stays so unless all checks pass or ``publish_failed``.
     """
     clock = StageClock()
-    with logged_failure(spark, "trips", clock, root):
+    with logged_failure(spark, "trips", clock, root), scratch_scope(spark):
         draft = Draft(spark, root)
         sources = {"trips_raw": raw}
         clock.end("extract")
@@ -432,7 +432,7 @@ def take_in(
     taken in is an error. For a folder that only this fills: `run` replaces what it made.
     """
     clock = StageClock()
-    with logged_failure(spark, TAKE_IN, clock, root):
+    with logged_failure(spark, TAKE_IN, clock, root), scratch_scope(spark):
         draft = Draft(spark, root)
         live = draft.before
         before = {k: list(v) for k, v in live.tables.items()} if live else {}

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +27,8 @@ COMMON_CONF = {
 
 # Application id -> its folder below the scratch root.
 _session_roots: dict[str, str] = {}
+# Folders of the scopes that a thread has open, the innermost last.
+_scopes = threading.local()
 
 
 def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 128 * 1024 * 1024) -> int:
@@ -82,11 +87,38 @@ def scratch_root(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
-def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path not yet in use below the scratch root, dropped when the driver JVM ends."""
+def _session_root(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _session_roots:
         root = f"{scratch_root(spark)}/millrace-{uuid.uuid4().hex}"
         storage.make_temporary_folder(spark, root)
         _session_roots[application] = root
-    return f"{_session_roots[application]}/{label}-{uuid.uuid4().hex}"
+    return _session_roots[application]
+
+
+def _open_scopes() -> list[str]:
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    return _scopes.open
+
+
+def fresh_dir(spark: SparkSession, label: str) -> str:
+    """A path not yet in use below the scratch root.
+
+    It is dropped at the end of the innermost `scratch_scope` that this thread has open, or else
+    when the driver's JVM ends.
+    """
+    scopes = _open_scopes()
+    return f"{scopes[-1] if scopes else _session_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop what this thread writes to the scratch folder inside the block; results must be elsewhere by then."""
+    own = f"{_session_root(spark)}/scope-{uuid.uuid4().hex}"
+    _open_scopes().append(own)
+    try:
+        yield
+    finally:
+        _open_scopes().remove(own)
+        storage.delete_folder(spark, own)

@@ -117,3 +117,19 @@ def test_scratch_root_is_the_shared_folder(spark, monkeypatch):
 def test_shuffle_partitions_grow_with_the_data():
     assert session.shuffle_partitions(1) == 8
     assert session.shuffle_partitions(100 * 2**40) == 100 * 2**40 // (128 * 2**20)
+
+
+def test_scratch_tables_go_with_their_scope(spark, tmp_path):
+    from millrace.session import fresh_dir, scratch_scope
+    from millrace.sources import storage
+
+    outer = fresh_dir(spark, "outer")
+    spark.range(3).write.parquet(outer)
+    with scratch_scope(spark):
+        one = fresh_dir(spark, "one")
+        spark.range(5).write.parquet(one)
+        with scratch_scope(spark):
+            two = fresh_dir(spark, "two")
+            spark.range(7).write.parquet(two)
+        assert storage.names(spark, two) == [] and spark.read.parquet(one).count() == 5
+    assert storage.names(spark, one) == [] and spark.read.parquet(outer).count() == 3

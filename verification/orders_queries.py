@@ -10,6 +10,7 @@ from millrace.operators.checks import check_nulls as null_checks
 from millrace.operators.clean import keep_one, require, to_int
 from millrace.operators.dims import hot_keys, lookup_hot
 from millrace.operators.reports import top
+from millrace.operators.rules import Rule
 from millrace.operators.summaries import Summary, summarise
 from millrace.plans import orders
 from verification import loaded
@@ -99,6 +100,11 @@ def quarantine_rows(spark, sf_dir):
 # --- predicates and scalar functions
 
 
+def _conditions(df, *rules: Rule):
+    """What each rule's condition gives for a row: true, false or null."""
+    return df.select("order_id", *(rule.column().alias(rule.name) for rule in rules))
+
+
 @query(
     from_orders(
         """select order_id, unit_price < 0 as lt, quantity <= 0 as le, unit_price > 100 as gt,
@@ -106,14 +112,13 @@ def quarantine_rows(spark, sf_dir):
     )
 )
 def pred_compare(spark, sf_dir):
-    price, discount = F.col("unit_price"), F.col("discount_pct")
-    return raw_orders(spark, sf_dir).select(
-        "order_id",
-        (price < 0).alias("lt"),
-        (F.col("quantity") <= 0).alias("le"),
-        (price > 100).alias("gt"),
-        (discount == 5).alias("eq"),
-        (discount != 5).alias("ne"),
+    return _conditions(
+        raw_orders(spark, sf_dir),
+        Rule("lt", "unit_price < 0"),
+        Rule("le", "quantity <= 0"),
+        Rule("gt", "unit_price > 100"),
+        Rule("eq", "discount_pct = 5"),
+        Rule("ne", "discount_pct <> 5"),
     )
 
 
@@ -124,11 +129,10 @@ def pred_compare(spark, sf_dir):
     )
 )
 def pred_bool(spark, sf_dir):
-    price, quantity = F.col("unit_price"), F.col("quantity")
-    return raw_orders(spark, sf_dir).select(
-        "order_id",
-        ((price > 0) & (quantity > 0)).alias("both_positive"),
-        ((price < 0) | (quantity <= 0)).alias("either_bad"),
+    return _conditions(
+        raw_orders(spark, sf_dir),
+        Rule("both_positive", "unit_price > 0 and quantity > 0"),
+        Rule("either_bad", "unit_price < 0 or quantity <= 0"),
     )
 
 
@@ -139,16 +143,16 @@ def pred_bool(spark, sf_dir):
     )
 )
 def pred_null(spark, sf_dir):
-    return raw_orders(spark, sf_dir).select(
-        "order_id",
-        F.col("customer_id").isNull().alias("no_customer"),
-        F.col("unit_price").isNotNull().alias("has_price"),
+    return _conditions(
+        raw_orders(spark, sf_dir),
+        Rule("no_customer", "customer_id is null"),
+        Rule("has_price", "unit_price is not null"),
     )
 
 
 @query(from_orders("select * from raw_orders where status = 'Completed'"))
 def pred_status(spark, sf_dir):
-    return raw_orders(spark, sf_dir).filter(F.col("status") == "Completed")
+    return require(raw_orders(spark, sf_dir), [Rule("completed", orders.COMPLETED)])
 
 
 @query(
@@ -159,9 +163,8 @@ def pred_status(spark, sf_dir):
     )
 )
 def fn_round(spark, sf_dir):
-    x = F.col("unit_price") / 7
     return raw_orders(spark, sf_dir).select(
-        "order_id", *(F.round(x, n).alias(f"round_{n}") for n in (0, 1, 2))
+        "order_id", *(F.expr(rounded("unit_price / 7", n)).alias(f"round_{n}") for n in (0, 1, 2))
     )
 
 
@@ -193,19 +196,19 @@ def fn_arith(spark, sf_dir):
     )
 )
 def fn_date_parts(spark, sf_dir):
-    return raw_orders(spark, sf_dir).select(
+    return orders.add_calendar(raw_orders(spark, sf_dir)).selectExpr(
         "order_id",
-        F.year("order_date").alias("y"),
-        F.month("order_date").alias("m"),
-        F.quarter("order_date").alias("q"),
-        F.dayofweek("order_date").alias("dow"),
-        F.hour("order_date").alias("h"),
+        "order_year as y",
+        "order_month as m",
+        "order_quarter as q",
+        "order_day_of_week as dow",
+        "order_hour as h",
     )
 
 
 @query(from_orders("select order_id, cast(order_date as date) as order_day from raw_orders"))
 def fn_to_date(spark, sf_dir):
-    return raw_orders(spark, sf_dir).select("order_id", F.to_date("order_date").alias("order_day"))
+    return raw_orders(spark, sf_dir).select("order_id", F.expr(orders.DAILY.keys["date"]).alias("order_day"))
 
 
 @query(
