@@ -379,7 +379,7 @@ def run(
         if reloadable:
             once = one_each(judged.filter(HAS_ID.column())).drop(CORRUPT_RECORD)
             kept["survivor_width"] = range_of_keys(once, KEY)
-            write_survivors(once, spec, draft.path(spec.survivors), kept["survivor_width"])
+            write_survivors(once, spec, draft.path(spec.survivors), *kept["survivor_width"])
             schemas = write_states(loaded, spec, draft)
             folders |= {name: [draft.folder(name)] for name in (spec.survivors, *schemas)}
             others |= merge_summaries(spark, root, spec, folders, schemas)

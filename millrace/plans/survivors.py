@@ -27,8 +27,9 @@ from millrace.sources.versions import Draft, Manifest
 from millrace.sources.writers import at_once, spread, write_partitioned, write_table, write_tables
 
 BUCKET = "bucket"
-#: Into how many ranges the keys of the first load are cut.
-BUCKETS = 256
+#: Into how many ranges the keys of the first load are cut: one for so many rows, up to a bound.
+ROWS_PER_BUCKET = 10_000
+BUCKETS = 4096
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -58,23 +59,25 @@ class Fact:
         return f"values_{summary}"
 
 
-def range_of_keys(rows: DataFrame, key: str, buckets: int = BUCKETS) -> int | None:
-    """Keys in a bucket; None where keys are not whole numbers and go by their hash."""
-    if not isinstance(rows.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return None
-    ends = rows.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    return 1 if ends["low"] is None else max(1, math.ceil((ends["high"] - ends["low"] + 1) / buckets))
+def range_of_keys(rows: DataFrame, key: str) -> tuple[int | None, int]:
+    """Keys in a bucket, and buckets in all; the former is None where keys go by their hash, for want of whole numbers."""
+    whole = isinstance(rows.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    ends = rows.agg(F.count(key).alias("rows"), *(f(F.col(key)).alias(n) for f, n in ((F.min, "low"), (F.max, "high")))).first()
+    buckets = min(BUCKETS, max(1, math.ceil(ends["rows"] / ROWS_PER_BUCKET)))
+    if not whole:
+        return None, buckets
+    return 1 if ends["low"] is None else max(1, math.ceil((ends["high"] - ends["low"] + 1) / buckets)), buckets
 
 
-def bucket_of(key: str, width: int | None, buckets: int = BUCKETS) -> Column:
+def bucket_of(key: str, width: int | None, buckets: int) -> Column:
     if width is None:
         return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("long")
     return F.expr(f"`{key}` div {width}").cast("long")
 
 
-def write_survivors(rows: DataFrame, fact: Fact, path: str, width: int | None) -> None:
+def write_survivors(rows: DataFrame, fact: Fact, path: str, width: int | None, buckets: int) -> None:
     """Survivors in files that lie within a bucket and, inside, in the order of the key."""
-    placed = rows.filter(F.col(fact.key).isNotNull()).withColumn(BUCKET, bucket_of(fact.key, width))
+    placed = rows.filter(F.col(fact.key).isNotNull()).withColumn(BUCKET, bucket_of(fact.key, width, buckets))
     ordered = spread(placed, BUCKET).sortWithinPartitions(BUCKET, fact.key)
     ordered.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
@@ -149,10 +152,10 @@ def fold(
     The batch has the columns of the raw table, readable rows only. Rows without a key never
     survive. A key whose old row stays costs nothing but its count of copies.
     """
-    width = live.facts["survivor_width"]
+    width, n_buckets = live.facts["survivor_width"]
     raw_columns = batch.columns
     newest = collapse(batch, [fact.key], fact.order_by).filter(F.col(fact.key).isNotNull())
-    newest = _kept(newest.withColumn(BUCKET, bucket_of(fact.key, width)), scratch("newest"))
+    newest = _kept(newest.withColumn(BUCKET, bucket_of(fact.key, width, n_buckets)), scratch("newest"))
     buckets = _values(newest, [BUCKET])
     if not buckets:
         return Fold({k: list(v) for k, v in live.tables.items()}, newest.limit(0), 0, 0)
@@ -195,7 +198,7 @@ def fold(
         tables |= {name: [draft.folder(name)] for name in summaries}
 
     others = old.drop(BUCKET).join(settled.select(fact.key), fact.key, "left_anti")
-    write_survivors(others.unionByName(settled.drop("is_new")), fact, draft.path(fact.survivors), width)
+    write_survivors(others.unionByName(settled.drop("is_new")), fact, draft.path(fact.survivors), width, n_buckets)
     tables[fact.survivors] = outside + _new(spark, root, draft, fact.survivors)
     return Fold(tables, rows, len(touched), changed.count())
 

@@ -1,5 +1,6 @@
 """Reloads from survivors: results, what is read, and runs that die."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -99,6 +100,7 @@ def test_a_small_batch_reads_little(spark, tmp_path, monkeypatch):
         "5.0D as customer_id", "7L as product_id", "2 as quantity", "10.0D as unit_price", "10 as discount_pct",
         "sha2(cast(id as string), 256) as payment_method", "'Completed' as status",
     )
+    monkeypatch.setattr(survivors, "ROWS_PER_BUCKET", 200)
     path, root = str(tmp_path / "raw"), str(tmp_path / "star")
     raw.filter(f"order_id < {n - n // 100}").write.parquet(path)
     orders.run(spark, spark.read.parquet(path), *dims(spark), root, reloadable=True)
@@ -114,11 +116,10 @@ def test_a_small_batch_reads_little(spark, tmp_path, monkeypatch):
         return real(session, at, table, folders, schema)
 
     monkeypatch.setattr(versions, "read_folders", seen)
+    assert len(os.listdir(f"{root}/{live.tables['survivors_fact_orders'][0]}")) > 100
     batch = raw.filter(f"order_id >= {n - n // 100}")
     orders.reload(spark, batch, *dims(spark), root)
     monkeypatch.undo()
-    import os
-
     def size(folders):
         return sum(os.path.getsize(os.path.join(d, f)) for at in folders for d, _, names in os.walk(f"{root}/{at}") for f in names if f.endswith(".parquet"))
 
@@ -127,14 +128,17 @@ def test_a_small_batch_reads_little(spark, tmp_path, monkeypatch):
     same_tables(orders.tables(spark, root), full(spark, raw, str(tmp_path / "full")))
 
 
-def test_survivors_lie_by_ranges_of_the_key(spark, tmp_path):
+def test_survivors_lie_by_ranges_of_the_key(spark, monkeypatch):
+    monkeypatch.setattr(survivors, "ROWS_PER_BUCKET", 40)
     rows_ = spark.range(0, 100_000, 10).withColumnRenamed("id", "k")
-    assert survivors.range_of_keys(rows_, "k", 256) == 391
-    assert survivors.range_of_keys(rows_.limit(0), "k") == 1
-    assert survivors.range_of_keys(rows_.select(F.col("k").cast("string")), "k") is None
+    assert survivors.range_of_keys(rows_, "k") == (400, 250)
+    assert survivors.range_of_keys(rows_.limit(0), "k") == (1, 1)
     text = rows_.select(F.col("k").cast("string").alias("k"))
-    buckets = text.select(survivors.bucket_of("k", None).alias("b")).distinct().count()
-    assert 250 < buckets <= 256
+    assert survivors.range_of_keys(text, "k") == (None, 250)
+    found = text.select(survivors.bucket_of("k", None, 250).alias("b")).distinct().count()
+    assert 240 < found <= 250
+    monkeypatch.setattr(survivors, "BUCKETS", 100)
+    assert survivors.range_of_keys(rows_, "k") == (1000, 100)
 
 
 STEPS = ("write_judged", "write_partitioned", "write_survivors", "write_states", "write_tables", "rule_counts", "verify_tables", "checks", "run_log")
