@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import mergeable
 from millrace.functions.columns import bucket, flag
-from millrace.functions.measures import mean, percent, ratio, rounded, total
+from millrace.functions.measures import mean, ratio, rounded, total
 from millrace.operators.audit import rule_counts
 from millrace.operators.checks import check_rules, check_unique, gate, null_rules
 from millrace.operators.clean import COPIES, collapse, keep_one, require, step_counts, to_int
