@@ -51,8 +51,8 @@ HEAD_BYTES = 64
 #: Words of LEAST tokens and of ROOT_SHARE times the root of all tokens have vectors.
 LEAST, ROOT_SHARE = 8, 1 / 56
 SUFFIX_UNITS = 64
-#: Classes for each unit's square root.
-CLASS_SHARE = 1.2
+#: Classes are so many times the root of the units, where scoring looks at the fewest.
+CLASS_SHARE = 0.63
 DIMENSIONS = 12
 CONTEXT = 2
 #: Noise samples: classes for a batch, units for each token.
@@ -201,6 +201,20 @@ PARTS = (
 )
 
 
+def _lists(rare: Counter, n: int) -> pa.Array:
+    """Hashes, suffix and number of each text's rare words."""
+    hashes = [word_hashes(word) for _, word, _ in rare]
+    columns = {
+        "h1": pa.array([a for a, _ in hashes], pa.int64()),
+        "h2": pa.array([b for _, b in hashes], pa.int64()),
+        "g": pa.array([g for _, _, g in rare], pa.int32()),
+        "times": pa.array(list(rare.values()), pa.int64()),
+    }
+    ends = np.cumsum(np.bincount([d for d, _, _ in rare], minlength=n)) if rare else np.zeros(n, int)
+    values = pa.StructArray.from_arrays(list(columns.values()), list(columns))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), values)
+
+
 def _coder(sent) -> Callable[[], Worker]:
     """Texts as unit numbers, with what the counts of frequent words say of them."""
 
@@ -221,11 +235,10 @@ def _coder(sent) -> Callable[[], Worker]:
             units = unit[number]
             missing = np.flatnonzero(number < 0)
             owner = np.searchsorted(starts, missing, "right") - 1
-            rare: list[Counter] = [Counter() for _ in texts]
-            for at, d, i in zip(missing.tolist(), owner.tolist(), (missing - starts[owner]).tolist()):
-                word = split[d][i]
-                rare[d][word] += 1
-                units[at] = corpus.suffix[suffix_unit(word)]
+            words = [split[d][i] for d, i in zip(owner.tolist(), (missing - starts[owner]).tolist())]
+            suffixes = np.array([suffix_unit(w) for w in words], np.int32)
+            units[missing] = corpus.suffix[suffixes]
+            rare = Counter(zip(owner.tolist(), words, suffixes.tolist()))  # in the order of the texts
             raw = units.astype("<i4").tobytes()
             return [
                 [raw[4 * a : 4 * (a + n)] for a, n in zip(starts.tolist(), lengths.tolist())],
@@ -233,10 +246,7 @@ def _coder(sent) -> Callable[[], Worker]:
                 pa.array(np.add.reduceat((number >= 0).astype(np.int64), starts)),
                 pa.array(np.add.reduceat(base[number], starts)),
                 pa.array(np.add.reduceat(share[number], starts)),
-                [
-                    [dict(zip(("h1", "h2"), word_hashes(w)), g=suffix_unit(w), times=n) for w, n in c.items()]
-                    for c in rare
-                ],
+                _lists(rare, len(texts)),
             ]
 
         return work
@@ -329,52 +339,72 @@ class Trainer:
         p, d = self.p, DIMENSIONS
         own = self.class_of[unit]
         seen = p.context[before, :d]
-        hidden = (seen * p.place[:, None, :d]).sum(axis=0)
+        hidden = seen[0] * p.place[0, :d]
+        for k in range(1, CONTEXT):
+            hidden += seen[k] * p.place[k, :d]
 
         drawn = np.searchsorted(self.class_places, self.rng.random(CLASS_NOISE)).clip(max=len(p.of_class) - 1)
         target, noise = p.of_class[own], p.of_class[drawn]
-        real = (hidden * target[:, :d]).sum(axis=1) + target[:, d] - self.log_class_noise[own]
+        real = _dots(hidden, target[:, :d]) + target[:, d] - self.log_class_noise[own]
         false = hidden @ noise[:, :d].T + (noise[:, d] - self.log_class_noise[drawn])
         up, down = _slope_up(real), _slope_down(false)
         back = up[:, None] * target[:, :d] + down @ noise[:, :d]
         self._add(2, np.concatenate([own, drawn]), np.concatenate([up[:, None] * hidden, down.T @ hidden]), np.concatenate([up, down.sum(axis=0)]))
 
+        # In the order of the classes, so that the search goes through the table once.
+        sort = np.argsort(own)
+        ranked = own[sort]
         u = self.rng.random((UNIT_NOISE, len(unit)))
-        other = np.searchsorted(self.unit_places, self.class_low[own] + u * self.class_mass[own])
+        places = np.searchsorted(self.unit_places, self.class_low[ranked] + u * self.class_mass[ranked])
+        other = np.empty_like(places)
+        other[:, sort] = places
         other = np.minimum(np.maximum(other, self.first[own]), self.first[own + 1] - 1)
         target, noise = p.unit[unit], p.unit[other]
         alone = self.first[own + 1] - self.first[own] == 1
-        up = _slope_up((hidden * target[:, :d]).sum(axis=1) + target[:, d] - self.log_unit_noise[unit])
-        down = _slope_down((hidden[None] * noise[..., :d]).sum(axis=2) + noise[..., d] - self.log_unit_noise[other])
+        up = _slope_up(_dots(hidden, target[:, :d]) + target[:, d] - self.log_unit_noise[unit])
+        down = _slope_down(np.einsum("nd,knd->kn", hidden, noise[..., :d]) + noise[..., d] - self.log_unit_noise[other])
         up[alone], down[:, alone] = 0, 0
-        back += up[:, None] * target[:, :d] + (down[..., None] * noise[..., :d]).sum(axis=0)
+        back += up[:, None] * target[:, :d]
+        for k in range(UNIT_NOISE):
+            back += down[k][:, None] * noise[k, :, :d]
         self._add(
             1,
             np.concatenate([unit, other.ravel()]),
             np.concatenate([up[:, None] * hidden, (down[..., None] * hidden[None]).reshape(-1, d)]),
             np.concatenate([up, down.ravel()]),
         )
-        self._add(0, before.ravel(), (back[None] * p.place[:, None, :d]).reshape(-1, d), np.zeros(before.size, np.float32))
-        self._add(3, np.arange(CONTEXT), (back[None] * seen).sum(axis=1), np.zeros(CONTEXT, np.float32))
+        self._add(0, before.ravel(), (back[None] * p.place[:, None, :d]).reshape(-1, d))
+        self._add(3, np.arange(CONTEXT), np.einsum("nd,knd->kd", back, seen))
 
-    def _add(self, k: int, rows: np.ndarray, slopes: np.ndarray, biases: np.ndarray) -> None:
+    def _add(self, k: int, rows: np.ndarray, slopes: np.ndarray, biases: np.ndarray | None = None) -> None:
         """One step for each row, along the sum of its slopes."""
         d, table = DIMENSIONS, self.p.tables()[k]
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows)
         ordered = rows[order]
-        begins = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        new = np.empty(len(rows), bool)
+        new[0] = True
+        np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+        begins = np.flatnonzero(new)
         at = ordered[begins]
-        slope = np.add.reduceat(slopes[order], begins, axis=0) * np.float32(STEP)
-        bias = np.add.reduceat(biases[order], begins) * np.float32(STEP)
+        slope = np.add.reduceat(slopes[order], begins, axis=0)
+        slope *= np.float32(STEP)
         held = table[at]
-        held[:, d + 1] += (slope * slope).mean(axis=1)
-        held[:, d + 2] += bias * bias
-        held[:, :d] += RATE * slope / np.sqrt(held[:, d + 1])[:, None]
-        held[:, d] += RATE * bias / np.sqrt(held[:, d + 2])
+        held[:, d + 1] += _dots(slope, slope) / np.float32(d)
+        slope *= (np.float32(RATE) / np.sqrt(held[:, d + 1]))[:, None]
+        held[:, :d] += slope
+        if biases is not None:
+            bias = np.add.reduceat(biases[order], begins) * np.float32(STEP)
+            held[:, d + 2] += bias * bias
+            held[:, d] += np.float32(RATE) * bias / np.sqrt(held[:, d + 2])
         table[at] = held
         self.touched[k][at] = True
 
 
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of the rows, one by one."""
+    return np.einsum("ij,ij->i", a, b)
+
+
 def _slope_up(real: np.ndarray) -> np.ndarray:
     """Slope of the log likelihood of what was seen."""
     return (1 / (1 + np.exp(np.clip(real, -30, 30)))).astype(np.float32)
@@ -437,7 +467,7 @@ def train(coded: DataFrame, corpus: Corpus) -> Parameters:
 class Scorer:
     """Normalised natural log probabilities of units."""
 
-    ROWS = 8192
+    ROWS = 2048
 
     def __init__(self, corpus: Corpus, p: Parameters):
         d = DIMENSIONS
@@ -446,6 +476,10 @@ class Scorer:
         self.units, self.unit_bias = np.ascontiguousarray(p.unit[:, :d].T), p.unit[:, d].copy()
         self.class_of, self.first = corpus.class_of(), corpus.first
         self.none = corpus.n_units
+        # No score is beyond this; exponents of up to 60 do not overflow.
+        far = sum(float(np.sqrt((self.context * place) ** 2).sum(axis=1).max()) for place in self.place)
+        largest = max(float(np.abs(t).max()) for t in (self.classes, self.units))
+        self.safe = far * largest + max(float(np.abs(b).max()) for b in (self.class_bias, self.unit_bias)) < 60
 
     def logs(self, units: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Of each unit after those ``before`` it."""
@@ -456,27 +490,29 @@ class Scorer:
         out = np.empty(len(units), np.float32)
         for at in range(0, len(units), self.ROWS):
             part = slice(at, at + self.ROWS)
-            out[part] = _log_share(hidden[part] @ self.classes + self.class_bias, own[part])
+            out[part] = self._log_share(hidden[part], self.classes, self.class_bias, own[part])
         # Tokens class by class, so that each meets the units of its class in one product.
-        order = np.argsort(own, kind="stable")
+        order = np.argsort(own)
         ends = np.searchsorted(own[order], np.arange(len(self.first)))
+        hidden, units, more = hidden[order], units[order], np.zeros(len(units), np.float32)
         for c in np.flatnonzero(np.diff(ends)):
             low, high = self.first[c], self.first[c + 1]
             if high - low == 1:
                 continue
             for at in range(ends[c], ends[c + 1], self.ROWS):
-                i = order[at : min(at + self.ROWS, ends[c + 1])]
-                out[i] += _log_share(hidden[i] @ self.units[:, low:high] + self.unit_bias[low:high], units[i] - low)
+                part = slice(at, min(at + self.ROWS, ends[c + 1]))
+                more[part] = self._log_share(hidden[part], self.units[:, low:high], self.unit_bias[low:high], units[part] - low)
+        out[order] += more
         return out
 
-
-def _log_share(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Log of the share that the own column has of each row's sum of exponents."""
-    top = np.float32(scores.max(initial=0))
-    if top > 60:  # beyond what a float can hold
-        scores = scores - scores.max(axis=1, keepdims=True)
-    mine = scores[np.arange(len(own)), own]
-    return mine - np.log(np.exp(scores).sum(axis=1))
+    def _log_share(self, hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Log of the share that the own column has of each row's sum of exponents."""
+        scores = hidden @ vectors
+        scores += bias
+        if not self.safe:
+            scores -= scores.max(axis=1, keepdims=True)
+        mine = scores[np.arange(len(own)), own]
+        return mine - np.log(np.exp(scores, out=scores).sum(axis=1))
 
 
 def _scorer(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
