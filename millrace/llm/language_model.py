@@ -49,11 +49,11 @@ END = b""
 HEAD = 1 << 18
 HEAD_BYTES = 64
 #: Words of LEAST tokens and of ROOT_SHARE times the root of all tokens have vectors.
-LEAST, ROOT_SHARE = 8, 1 / 56
+LEAST, ROOT_SHARE = 8, 1 / 40
 SUFFIX_UNITS = 64
 #: Classes are so many times the root of the units, where scoring looks at the fewest.
 CLASS_SHARE = 0.63
-DIMENSIONS = 12
+DIMENSIONS = 8
 CONTEXT = 2
 #: Noise samples: classes for a batch, units for each token.
 CLASS_NOISE, UNIT_NOISE = 12, 1
@@ -233,7 +233,7 @@ def _coder(sent) -> Callable[[], Worker]:
             starts = np.cumsum(lengths) - lengths
             number = np.array([get(w, -1) for words in split for w in words], np.int32)
             units = unit[number]
-            missing = np.flatnonzero(number < 0)
+            missing, shared = np.flatnonzero(number < 0), np.flatnonzero(number >= corpus.own)
             owner = np.searchsorted(starts, missing, "right") - 1
             words = [split[d][i] for d, i in zip(owner.tolist(), (missing - starts[owner]).tolist())]
             suffixes = np.array([suffix_unit(w) for w in words], np.int32)
@@ -245,7 +245,7 @@ def _coder(sent) -> Callable[[], Worker]:
                 pa.array(lengths.astype(np.int64)),
                 pa.array(np.add.reduceat((number >= 0).astype(np.int64), starts)),
                 pa.array(np.add.reduceat(base[number], starts)),
-                pa.array(np.add.reduceat(share[number], starts)),
+                pa.array(np.bincount(np.searchsorted(starts, shared, "right") - 1, share[number[shared]], len(texts)).astype(float)),
                 _lists(rare, len(texts)),
             ]
 
@@ -267,11 +267,13 @@ def encode(docs: DataFrame, corpus: Corpus) -> DataFrame:
 
 def contexts(units: np.ndarray, lengths: np.ndarray, none: int) -> np.ndarray:
     """The CONTEXT units before each; ``none`` before the first."""
-    at = np.arange(len(units)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out = np.full((CONTEXT, len(units)), none, np.int32)
+    out = np.empty((CONTEXT, len(units)), np.int32)
+    starts = np.cumsum(lengths) - lengths
     for k in range(1, CONTEXT + 1):
+        out[k - 1, :k] = none
         out[k - 1, k:] = units[:-k]
-        out[k - 1, at < k] = none
+        for j in range(k):  # the first words of a text lack some of them
+            out[k - 1, starts[lengths > j] + j] = none
     return out
 
 
