@@ -2,9 +2,10 @@
 
 The distinct marked words of a chunk of texts are sorted, which is the depth-first order of
 their trie. Forward scores of a prefix do not depend on what follows, so going from one word to
-the next keeps those of the common prefix and computes only the new characters. Each word is
-split once per task (the memory of words is bounded and emptied when full), and texts are put
-together from the words' ids.
+the next keeps those of the common prefix and computes only the new characters; candidates for an
+end are looked up from the shortest on, until no piece ends alike. Each word is split once per
+task (the memory of words is bounded and emptied when full), and texts are put together from the
+words' ids.
 
 Defined cases: a null text has null ids and decodes to null; an empty text has no ids; an empty
 table gives no rows; a word of any length is split whole; other columns pass through. Decoding
@@ -41,27 +42,38 @@ def common_prefix(a: str, b: str) -> int:
     return n
 
 
-def split_sorted(words: list[str], vocabulary: Vocabulary) -> dict[str, array]:
-    """Ids of each word; ``words`` must be sorted."""
-    scores, unknown, longest = vocabulary.scores, vocabulary.unknown, vocabulary.longest
-    get = scores.get
+def ending_scores(vocabulary: Vocabulary) -> dict[str, float | None]:
+    """The score of every piece, and None for what only is the end of some piece."""
+    ends = {piece[k:]: None for piece in vocabulary.scores for k in range(1, len(piece))}
+    ends.update((piece, score) for piece, (score, _) in vocabulary.scores.items())
+    return ends
+
+
+def split_sorted(words: list[str], vocabulary: Vocabulary, ends: dict[str, float | None] | None = None) -> dict[str, array]:
+    """Ids of each word; ``words`` must be sorted.
+
+    Candidates for an end are looked at from the shortest on, and no further than some piece ends
+    alike; among equal sums the piece that starts first replaces those before.
+    """
+    look = (ending_scores(vocabulary) if ends is None else ends).get
+    unknown, get, missing = vocabulary.unknown, vocabulary.scores.get, False
     best, starts = [0.0], [0]  # of the ends of the current path in the trie
     previous, out = "", {}
     for word in words:
         shared = common_prefix(previous, word)
         del best[shared + 1 :], starts[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            top, start = None, 0
-            for i in range(end - longest if end > longest else 0, end):
-                piece = get(word[i:end])
-                if piece is not None:
-                    score = best[i] + piece[0]
-                    if top is None or score > top:
-                        top, start = score, i
-            if piece is None:  # the last candidate, one character, is no piece
-                score = best[end - 1] + unknown
-                if top is None or score > top:
-                    top, start = score, end - 1
+            start = i = end - 1
+            score = look(word[i:end], missing)
+            # A character that is no piece is unknown; on equal sums any piece goes before it.
+            top = best[i] + (unknown if score is None or score is missing else score)
+            while score is not missing and i:
+                i -= 1
+                score = look(word[i:end], missing)
+                if score is not None and score is not missing:
+                    total = best[i] + score
+                    if total >= top:
+                        top, start = total, i
             best.append(top)
             starts.append(start)
         ids, end = [], len(word)
@@ -82,16 +94,17 @@ class _Encoder:
     """Splits the texts of one task; remembers the ids of short words."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.memo = vocabulary, {}
+        self.vocabulary, self.ends, self.memo = vocabulary, ending_scores(vocabulary), {}
 
     def __call__(self, texts: list) -> tuple[array, list[int]]:
         """Ids of all texts in a row, and where each text's begin and the last one's end."""
         split = [marked_words(text) for text in texts]
-        new = split_sorted(sorted(set().union(*split) - self.memo.keys()), self.vocabulary)
+        new = split_sorted(sorted(set().union(*split) - self.memo.keys()), self.vocabulary, self.ends)
+        new = {word: found.tobytes() for word, found in new.items()}
         ids, offsets = array("i"), [0]
+        known = self.memo
         for words in split:
-            for word in words:
-                ids.extend(new[word] if word in new else self.memo[word])
+            ids.frombytes(b"".join([new[word] if word in new else known[word] for word in words]))
             offsets.append(len(ids))
         if len(self.memo) + len(new) > MEMO_WORDS:
             self.memo.clear()
