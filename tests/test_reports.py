@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.checks import gate
 from millrace.operators.reports import top
+from millrace.operators.summaries import summarise
 from millrace.plans import orders, trips
 from verification import loaded, stand_ins
 
@@ -88,3 +89,18 @@ def test_no_python_runs_per_row(spark, sf_dir):
     parts = [f(spark, sf_dir) for f in (stand_ins.raw_orders, stand_ins.products, stand_ins.customers)]
     for df in (orders.fact(*parts), trips.fact(stand_ins.raw_trips(spark, sf_dir))):
         assert "EvalPython" not in plan(df) and "InPandas" not in plan(df)
+
+
+def test_distinct_values_travel_without_the_states_of_other_measures(spark):
+    """Each distinct customer took the sums and counts of all measures through the shuffle."""
+    kind = "order_date timestamp, status string, order_id int, net_revenue double, total_profit double, customer_id int, is_weekend boolean"
+    df = spark.createDataFrame(
+        [(None, "Completed", 1, 2.0, 1.0, 5, True), (None, "Completed", 2, 3.0, None, None, False), (None, "Completed", 3, 4.0, None, 5, None)],
+        kind,
+    )
+    daily = summarise(df, orders.DAILY)
+    exchanged = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: (.*)\n", details(daily), re.M)
+    by_value = [columns for columns in exchanged if "__value#" in columns]
+    assert by_value and not any("sum#" in columns for columns in by_value)
+    assert rows(daily) == [(None, 3, 9.0, 1.0, 3.0, 1, 1)]
+    assert rows(summarise(df.limit(0), orders.DAILY)) == []
