@@ -142,3 +142,22 @@ def test_a_load_with_quarantine_shuffles_its_rows_once(spark, tmp_path):
     # Of the shuffles that carry whole rows, only the fact's on its way to its partitions is left.
     [fact] = [columns for columns in exchanges(spark, since) if "payment_method#" in columns]
     assert fact.count("#") == 31
+
+
+def test_kept_rows_and_one_of_each_join_nothing(spark, tmp_path):
+    """Marking surplus rows took a shuffle of all rows put aside, also where nobody asked for them."""
+    path = str(tmp_path / "judged")
+    data = [(i % 40, i % 3, "x") for i in range(60)]
+    df = spark.createDataFrame(data, KIND).repartition(3)
+    judged = judge.write_judged(df, RULES, path, keys=["k"])
+    for asked in (judge.kept_rows(judged), judge.one_each(judged), judge.rows_as_read(df, path)):
+        assert "Join" not in plan(asked) and "Exchange" not in plan(asked)
+    assert rows(judge.rows_as_read(df, path)) == rows(df)
+    assert judge.rejected_rows(judged).filter("reason = 'again'").count() == 20
+
+
+def test_a_surplus_row_that_no_rule_turns_down_is_kept(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2, "x"), (1, 1, "x"), (2, 0, "x"), (1, 0, "y")], KIND)
+    judged = judge.write_judged(df, [RULES[0], RULES[2]], str(tmp_path / "judged"), keys=["k"])
+    assert rows(judge.kept_rows(judged)) == [(1, 1, "x"), (1, 2, "x")]
+    assert judge.rejected_rows(judged).count() == 2
