@@ -1,7 +1,8 @@
 import json
 import os
+import re
 
-from conftest import plan, rows
+from conftest import details, plan, rows
 from pyspark.sql import functions as F
 from test_clean import make_orders
 from test_enrich import make_trips
@@ -315,3 +316,17 @@ def test_sources_are_named_in_the_log(spark, tmp_path):
     assert named["source_format"] == "csv"
     assert named["source_files"] == sorted(f for f in os.listdir(path) if f.endswith(".csv"))
     assert log["sources"]["products_raw"]["source_files"] == []
+
+
+def test_a_join_of_the_fact_that_shuffles_carries_raw_columns_only(spark, conf, tmp_path):
+    """Products and derived columns went through the customers' shuffle, and derived ones to the files' tasks."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    raw = make_orders(spark, *(dict(order_id=i) for i in range(9)))
+    text = details(orders.fact(raw, *dims(spark)))
+    carried = [c for c in re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: (.*)\n", text, re.M) if "payment_method#" in c]
+    assert carried and not any("net_revenue#" in c or "total_profit#" in c for c in carried)
+    [by_customer] = [c for c in carried if "customer_name#" not in c]
+    assert by_customer.count("#") == 9
+    out = orders.write_fact(raw, *dims(spark), str(tmp_path / "fact"))
+    built = orders.fact(raw, *dims(spark))
+    assert rows(out.select(*built.columns)) == rows(built)
