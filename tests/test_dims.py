@@ -140,3 +140,17 @@ def test_hot_and_null_keys_without_help_at_run_time(spark, conf):
     assert most(salted) < n / 8
     assert plan(salted).startswith("Union")  # rows without a key go round the join
     assert rows(lookup_hot(df, dim, "k", ["name"], []).select("k", "v", "name")) == rows(plain.select("k", "v", "name"))
+
+
+def test_hot_keys_read_the_rows_once(spark, tmp_path, conf):
+    """Counting them all and picking the hot ones were two jobs, each with every shuffle behind the rows."""
+    spark.range(1000).selectExpr("id % 9 as k").write.parquet(str(tmp_path / "rows"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    listeners = spark.sparkContext._jsc.sc().listenerBus()
+    listeners.waitUntilEmpty(30_000)
+    df, before = spark.read.parquet(str(tmp_path / "rows")), store.executionsCount()
+    assert len(hot_keys(df, "k", share=0.05)) == 9
+    listeners.waitUntilEmpty(30_000)
+    assert store.executionsCount() == before + 1
+    last = store.executionsList().last()
+    assert last.physicalPlanDescription().split("== Initial Plan ==")[0].count("ReusedExchange") >= 1
