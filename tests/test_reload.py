@@ -245,3 +245,23 @@ def test_timestamps_of_batches_are_kept(spark, tmp_path):
     orders.run(spark, make_orders(spark, dict(order_id=1, order_date=base)), *dims(spark), root, reloadable=True)
     orders.reload(spark, make_orders(spark, dict(order_id=2, order_date=base + timedelta(days=1))), *dims(spark), root)
     assert [r["order_date"] for r in orders.tables(spark, root)["fact_orders"].orderBy("order_id").collect()] == [base, base + timedelta(days=1)]
+
+
+def test_a_reload_leaves_old_survivors_and_merges_many_pieces(spark, tmp_path, monkeypatch):
+    """Every reload shuffled and wrote again all survivors of the buckets that its batch touched."""
+    monkeypatch.setattr(survivors, "PIECES", 4)
+    root, raw = str(tmp_path / "star"), make_orders(spark, *HISTORY)
+    orders.run(spark, raw, *dims(spark), root, reloadable=True, publish_failed=True)
+    pieces = [versions.live(spark, root).tables["survivors_fact_orders"]]
+    for name in ("displaces and moves", "copies", "loses", "one key many times"):
+        new = make_orders(spark, *BATCHES[name])
+        raw = raw.union(new)
+        orders.reload(spark, new, *dims(spark), root, publish_failed=True)
+        pieces.append(versions.live(spark, root).tables["survivors_fact_orders"])
+    assert pieces[1][:1] == pieces[0] and pieces[2][:2] == pieces[1]
+    # The third reload makes one of the first bucket's four pieces; the second bucket has two and keeps them.
+    assert [len(p) for p in pieces] == [1, 2, 3, 3, 4]
+    assert [p for p in pieces[3] if p in pieces[2]] == [] and pieces[3][-1].endswith("-merged")
+    merged_rows = versions.read_folders(spark, root, "survivors_fact_orders", pieces[3])
+    assert merged_rows.count() == merged_rows.select("order_id").distinct().count() == 6
+    same_tables(orders.tables(spark, root), full(spark, raw, str(tmp_path / "full")))
