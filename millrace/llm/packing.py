@@ -30,6 +30,7 @@ import math
 import re
 import sys
 from array import array
+from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -96,34 +97,58 @@ def fill(tokens: np.ndarray, loss: np.ndarray, limits: Limits, least_gap: int |
     need = np.stack([tokens, np.ones(len(tokens)), loss], axis=1).astype(float) / limit
     weight = need.sum(axis=0)
     order = np.lexsort((np.arange(len(tokens)), -tokens))
-    item, left, bear = order, tokens[order].astype(np.int64), loss[order].astype(np.int64)
-    cut = np.zeros(len(order), np.int64)
+    # Items that ask for the same have the same product: one is worked out for each demand, the largest first.
+    demands, which = np.unique(np.stack([-tokens[order], loss[order]], axis=1).astype(np.int64), axis=0, return_inverse=True)
+    left, bear = -demands[:, 0], demands[:, 1]
+    which = which.ravel()
+    by_demand = np.split(-np.argsort(which, kind="stable")[::-1], np.cumsum(np.bincount(which, minlength=len(left))[::-1])[:-1])
+    waiting = [held.tolist() for held in by_demand[::-1]]  # places in the order, the first one last
+    n = np.array([len(held) for held in waiting], np.int64)
+    cut: dict[int, int] = {}
     placed: list[tuple[int, int, int, int, int]] = []
-    sequence = 0
-    while len(item):
+    sequence, remaining = 0, len(order)
+
+    def take(at: int, length: int, offset: int) -> int:
+        held = waiting[at].pop()
+        placed.append((int(order[-held]), cut.get(held, 0), length, sequence, offset))
+        n[at] -= 1
+        return held
+
+    while remaining:
         free, room, spare = limits.tokens, limits.segments, limits.loss_tokens
-        gone = np.zeros(len(item), bool)
+        tokens_share, loss_share = left / limit[0], bear / limit[2]
         while room:
-            fits = ~gone & (left <= free) & (bear <= spare)
+            fits = (left <= free) & (bear <= spare) & (n > 0)
             if fits.any():
                 rest = weight * np.array([free, room, spare]) / limit
-                gain = (left / limit[0]) * rest[0] + rest[1] / limit[1] + (bear / limit[2]) * rest[2]
+                gain = tokens_share * rest[0] + rest[1] / limit[1] + loss_share * rest[2]
                 at = int(np.argmax(np.where(fits, gain, -1.0)))
-                placed.append((int(item[at]), int(cut[at]), int(left[at]), sequence, limits.tokens - free))
-                gone[at] = True
+                take(at, int(left[at]), limits.tokens - free)
+                remaining -= 1
                 free, room, spare = free - int(left[at]), room - 1, spare - int(bear[at])
                 continue
             head = min(free, spare + 1)
-            if least_gap is None or head < max(1, least_gap) or gone.all():
+            if least_gap is None or head < max(1, least_gap) or not remaining:
                 break
-            at = int(np.argmax(np.where(gone, -1, left)))
-            placed.append((int(item[at]), int(cut[at]), head, sequence, limits.tokens - free))
+            at = int(np.argmax(np.where(n > 0, left, -1)))
+            held = take(at, head, limits.tokens - free)
             free, room, spare = free - head, room - 1, spare - (head - 1)
-            cut[at] += head
-            left[at] -= head
-            bear[at] = max(0, left[at] - 1)
+            cut[held] = cut.get(held, 0) + head
+            rest_left = int(left[at]) - head
+            same = np.flatnonzero((left == rest_left) & (bear == max(0, rest_left - 1)))
+            if len(same):
+                back = int(same[0])
+            else:
+                back = int(np.searchsorted(-left, -rest_left))
+                left, bear, n = (np.insert(a, back, v) for a, v in ((left, rest_left), (bear, max(0, rest_left - 1)), (n, 0)))
+                tokens_share, loss_share = left / limit[0], bear / limit[2]
+                waiting.insert(back, [])
+            insort(waiting[back], held)
+            n[back] += 1
         sequence += 1
-        item, left, bear, cut = (a[~gone] for a in (item, left, bear, cut))
+        some = np.flatnonzero(n)
+        if 4 * len(some) < 3 * len(n):
+            left, bear, n, waiting = left[some], bear[some], n[some], [waiting[i] for i in some]
     return placed
 
 
