@@ -474,14 +474,14 @@ class Scorer:
     def __init__(self, corpus: Corpus, p: Parameters):
         d = DIMENSIONS
         self.context, self.place = np.ascontiguousarray(p.context[:, :d]), p.place[:, :d]
-        self.classes, self.class_bias = np.ascontiguousarray(p.of_class[:, :d].T), p.of_class[:, d].copy()
-        self.units, self.unit_bias = np.ascontiguousarray(p.unit[:, :d].T), p.unit[:, d].copy()
+        # The bias as one more row, which meets a one: a product then gives whole scores.
+        self.classes, self.units = (np.ascontiguousarray(t[:, : d + 1].T) for t in (p.of_class, p.unit))
         self.class_of, self.first = corpus.class_of(), corpus.first
         self.none = corpus.n_units
         # No score is beyond this; exponents of up to 60 do not overflow.
         far = sum(float(np.sqrt((self.context * place) ** 2).sum(axis=1).max()) for place in self.place)
-        largest = max(float(np.abs(t).max()) for t in (self.classes, self.units))
-        self.safe = far * largest + max(float(np.abs(b).max()) for b in (self.class_bias, self.unit_bias)) < 60
+        largest, bias = (max(float(np.abs(t[rows]).max()) for t in (self.classes, self.units)) for rows in (slice(d), d))
+        self.safe = far * largest + bias < 60
 
     def logs(self, units: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Of each unit after those ``before`` it."""
@@ -489,10 +489,11 @@ class Scorer:
         hidden = self.context[before[0]] * self.place[0]
         for k in range(1, len(before)):
             hidden += self.context[before[k]] * self.place[k]
+        hidden = np.concatenate([hidden, np.ones((len(units), 1), np.float32)], axis=1)
         out = np.empty(len(units), np.float32)
         for at in range(0, len(units), self.ROWS):
             part = slice(at, at + self.ROWS)
-            out[part] = self._log_share(hidden[part], self.classes, self.class_bias, own[part])
+            out[part] = self._log_share(hidden[part], self.classes, own[part])
         # Tokens class by class, so that each meets the units of its class in one product.
         order = np.argsort(own)
         ends = np.searchsorted(own[order], np.arange(len(self.first)))
@@ -503,18 +504,17 @@ class Scorer:
                 continue
             for at in range(ends[c], ends[c + 1], self.ROWS):
                 part = slice(at, min(at + self.ROWS, ends[c + 1]))
-                more[part] = self._log_share(hidden[part], self.units[:, low:high], self.unit_bias[low:high], units[part] - low)
+                more[part] = self._log_share(hidden[part], self.units[:, low:high], units[part] - low)
         out[order] += more
         return out
 
-    def _log_share(self, hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+    def _log_share(self, hidden: np.ndarray, vectors: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Log of the share that the own column has of each row's sum of exponents."""
         scores = hidden @ vectors
-        scores += bias
         if not self.safe:
             scores -= scores.max(axis=1, keepdims=True)
         mine = scores[np.arange(len(own)), own]
-        return mine - np.log(np.exp(scores, out=scores).sum(axis=1))
+        return mine - np.log(np.exp(scores, out=scores) @ np.ones(vectors.shape[1], np.float32))
 
 
 def _scorer(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
